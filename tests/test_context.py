@@ -1,0 +1,39 @@
+from datetime import date
+
+import pytest
+
+from wardlake.context import RunContext
+from wardlake.contracts import HOSPITAL
+from wardlake.sources.shared import shared_folder
+
+
+@pytest.mark.parametrize(
+    "input_date, month, year, day",
+    [
+        ("20260201", "January", 2026, date(2026, 1, 1)),
+        ("20260105", "December", 2025, date(2025, 12, 5)),
+        ("20260331", "February", 2026, date(2026, 2, 28)),
+        ("20240331", "February", 2024, date(2024, 2, 29)),
+    ],
+)
+def test_report_period_is_the_month_before(input_date, month, year, day):
+    ctx = RunContext(input_date=input_date, base_path="/lake")
+    assert (ctx.report_month, ctx.report_year, ctx.report_period) == (month, year, day)
+
+
+def test_paths():
+    ctx = RunContext(input_date="20260201", base_path="/lake", run_id="r")
+    assert ctx.landing_path(HOSPITAL) == "/lake/landing/Raw_Data/Hospital_events_January_2026.csv"
+    assert ctx.bronze_path(HOSPITAL) == "/lake/bronze/Staging_Data/Hospital_Data/r"
+    assert ctx.gold_path("gold_patient_status") == "/lake/gold/Gold_Data/gold_patient_status"
+
+
+def test_bad_input_date():
+    with pytest.raises(ValueError):
+        RunContext(input_date="2026-02-01", base_path="/lake").report_month
+
+
+def test_shared_folder_is_below_the_configured_one(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_folder(spark), shared_folder(spark)
+    assert first.startswith(root) and first != second

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -22,6 +23,8 @@ from wardlake.plans.views import VIEWS
 from wardlake.sources import tables
 from wardlake.sources.landing import read_landing_csv, write_landing_csv
 
+T = TypeVar("T")
+
 ALL_SOURCES = (HOSPITAL, DEVICE, PHARMA)
 
 
@@ -29,8 +32,13 @@ def land_extracts(
     ctx: RunContext, extracts: Mapping[str, DataFrame], sources: Iterable[SourceContract] = ALL_SOURCES
 ) -> None:
     """Copy the source tables, from JDBC or anywhere else, to this period's landing files."""
-    for source in sources:
-        write_landing_csv(extracts[source.name].select(*source.columns), ctx.landing_path(source))
+    by_name = {s.name: s for s in sources}
+
+    def land(name: str) -> None:
+        source = by_name[name]
+        write_landing_csv(extracts[name].select(*source.columns), ctx.landing_path(source))
+
+    _concurrently(by_name, land)
 
 
 def raw_to_bronze(spark: SparkSession, ctx: RunContext, source: SourceContract) -> int:
@@ -130,7 +138,7 @@ def _write_counted(df: DataFrame, write: Callable[[DataFrame], None], name: str)
     return seen.get.get("rows", 0)
 
 
-def _concurrently(names: Iterable[str], work: Callable[[str], int]) -> dict[str, int]:
+def _concurrently(names: Iterable[str], work: Callable[[str], T]) -> dict[str, T]:
     """Run independent writes side by side, so one's last tasks leave no executor idle."""
     names = list(names)
     with ThreadPoolExecutor(max_workers=4) as pool:

@@ -25,9 +25,9 @@ def landing_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_landing_csv(spark: SparkSession, path: str, contract: SourceContract) -> DataFrame:
-    """All columns as text, plus ``file_path``.
+    """All columns as text, plus ``file_path``, the landing file the caller names.
 
-    The first file's header is compared on the driver, before any row is read;
+    As a literal it folds to a constant, and so does everything derived from it. The first file's header is compared on the driver, before any row is read;
     with ``enforceSchema`` off the tasks compare the header of every other file.
     """
     check_columns(landing_header(spark, path), contract.landing_columns)
@@ -36,7 +36,7 @@ def read_landing_csv(spark: SparkSession, path: str, contract: SourceContract) -
         .option("enforceSchema", False)
         .schema(contract.text_schema)
         .csv(path)
-        .withColumn("file_path", F.col("_metadata.file_path"))
+        .withColumn("file_path", F.lit(path))
     )
 
 
