@@ -40,19 +40,19 @@ class Bound:
 
     spark: SparkSession
     sf_dir: str
-    _sources: dict[str, DataFrame] = field(default_factory=dict)
+    _built: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
 
     def source(self, contract: SourceContract) -> DataFrame:
-        """The bound source; built once per query, since opening a table reads its footer."""
-        if contract.name not in self._sources:
-            bind = bindings.BINDINGS[contract.name]
-            self._sources[contract.name] = bind(self.spark, self.sf_dir)
-        return self._sources[contract.name]
+        bind = bindings.BINDINGS[contract.name]
+        return self._once("source", contract.name, lambda: bind(self.spark, self.sf_dir))
 
     def defective(self, contract: SourceContract) -> DataFrame:
         return bindings.with_defects(self.source(contract), contract)
 
     def clean(self, name: str) -> DataFrame:
+        return self._once("clean", name, lambda: self._clean(name))
+
+    def _clean(self, name: str) -> DataFrame:
         source = self.source(SOURCES[name])
         if name == "Hospital":
             return cleanse.clean_hospital(source, AS_OF)
@@ -60,6 +60,12 @@ class Bound:
             return cleanse.clean_pharma(source, AS_OF)
         return cleanse.type_device(source)
 
+    def _once(self, kind: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Plans (not rows) are kept: opening a table lists files and reads a footer."""
+        if (kind, name) not in self._built:
+            self._built[kind, name] = build()
+        return self._built[kind, name]
+
     def silver(self, table: str) -> DataFrame:
         build, source = star.TABLES[table]
         return build(self.clean(source))
