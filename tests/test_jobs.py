@@ -6,7 +6,7 @@ from tests.data import CONTRACTS, changed, text_frame, tuples
 from wardlake.contracts import GOLD, HOSPITAL, SILVER
 from wardlake.operators import audit
 from wardlake.operators.validate import ValidationError
-from wardlake.plans import jobs, views
+from wardlake.plans import jobs, marts, views
 from wardlake.sources import tables
 
 
@@ -109,3 +109,29 @@ def test_history_keeps_other_months(spark, ctx):
         (2026, "January", "Currently Admitted", 2), (2026, "January", "Discharged", 3),
     ]
     assert set(gold) == set(GOLD)
+
+
+def test_bucketed_facts_join_without_a_shuffle_of_the_facts(spark, ctx):
+    land(spark, ctx)
+    jobs.run_medallion(spark, ctx)
+    plain = all_rows(spark, ctx)
+    bucketed = replace(
+        ctx, fact_buckets=4, database=f"{ctx.database}_b", gold_database=f"{ctx.gold_database}_b",
+        base_path=f"{ctx.base_path}/bucketed", audit_database=f"{ctx.audit_database}_b",
+    )
+    land(spark, bucketed)
+    jobs.run_medallion(spark, bucketed)
+    assert all_rows(spark, bucketed) == plain
+
+    def shuffles(run):
+        silver = lambda table: tables.read_silver(spark, run, table)
+        mart = marts.build_mart("gold_finance_weekly", silver, "January")
+        return mart._jdf.queryExecution().executedPlan().toString().count(
+            "Exchange hashpartitioning(admission_id"
+        )
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert (shuffles(ctx), shuffles(bucketed)) == (4, 0)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

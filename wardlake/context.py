@@ -17,6 +17,11 @@ class RunContext:
     ``as_of`` replaces the wall clock in every rule that compares with "today",
     so a rerun with the same context gives the same tables. ``base_path`` must be
     a folder that driver and executors share.
+
+    ``fact_buckets`` stores both hospital facts bucketed by ``admission_id``: one
+    shuffle of each when it is written, and none when the finance mart joins them.
+    It suits ids that are unique, as the source's key promises; without it a
+    repeated id is no problem either.
     """
 
     input_date: str
@@ -29,6 +34,7 @@ class RunContext:
     gold_database: str = "gold"
     audit_database: str = "audit"
     history: bool = False
+    fact_buckets: int | None = None
 
     @property
     def report_period(self) -> date:
@@ -54,7 +60,7 @@ class RunContext:
         return f"{self.base_path}/bronze/Staging_Data/{source.name}_Data/{self.run_id}"
 
     def stage_path(self, name: str) -> str:
-        return f"{self.base_path}/silver_stage/{self.run_id}/{name}"
+        return f"{self.base_path}/silver_stage/{name}"
 
     def gold_path(self, mart: str) -> str:
         return f"{self.base_path}/gold/Gold_Data/{mart}"

@@ -116,6 +116,9 @@ SILVER: dict[str, dict[str, str]] = {
     },
 }
 
+# The facts that meet on this column.
+BUCKET_KEYS = {"fact_admission": "admission_id", "fact_billing": "admission_id"}
+
 GOLD: dict[str, dict[str, str]] = {
     "gold_medicine_availability": {
         "hospital_id": "string", "medicine_name": "string", "category": "string",

@@ -40,6 +40,11 @@ clean AS (
   WHERE patient_gender IN ('M', 'F', 'O') AND patient_dob <= DATE '1998-07-01'
     AND (discharge_time IS NULL OR admission_time <= discharge_time)
     AND billed_amount >= approved_amount
+),
+insurers AS (SELECT DISTINCT insurance_id, insurance_name FROM clean),
+claims AS (
+  SELECT b.claim_status, i.insurance_name
+  FROM clean b LEFT JOIN insurers i ON i.insurance_id = b.insurance_id
 )"""
 
 _DEVICE = """
@@ -56,7 +61,7 @@ pharma AS (
   SELECT 'MED' || l_partkey AS medicine_id, p_name AS medicine_name, p_type AS category,
          'H' || l_suppkey AS hospital_id, CAST(20 * q AS INTEGER) AS total_stock,
          CAST(2 * q * (l_partkey % 12) AS INTEGER) AS issued_stock, d AS expiry_date, l_partkey AS n
-  FROM (SELECT l_partkey, l_suppkey, SUM(CAST(l_quantity AS INTEGER)) AS q,
+  FROM (SELECT l_partkey, l_suppkey, SUM(CAST(l_quantity AS INTEGER)) % 1000000 AS q,
                CAST(MAX(l_shipdate) AS DATE) AS d
         FROM lineitem GROUP BY l_partkey, l_suppkey)
   JOIN part ON l_partkey = p_partkey
@@ -68,14 +73,22 @@ valid AS (
   FROM pharma
   WHERE total_stock >= 0 AND issued_stock >= 0 AND issued_stock <= total_stock
     AND (expiry_date IS NULL OR expiry_date >= DATE '1998-07-01')
+),
+stocked AS (
+  SELECT f.hospital_id, f.medicine_id, d.medicine_name, d.category, f.total_stock,
+         f.available_stock, f.expiry_date
+  FROM valid f JOIN (SELECT DISTINCT medicine_id, medicine_name, category FROM valid) d
+    ON d.medicine_id = f.medicine_id
 )"""
 
 _FINANCE = _CLEAN + """,
 finance AS (
-  SELECT CAST(date_trunc('week', admission_time) AS DATE) AS week_start_date, insurance_id,
-         insurance_name, COUNT(*) AS claims, CAST(SUM(billed_amount) AS BIGINT) AS billed,
-         CAST(SUM(approved_amount) AS BIGINT) AS approved
-  FROM clean WHERE claim_status = 'APPROVED' GROUP BY ALL
+  SELECT CAST(date_trunc('week', a.admission_time) AS DATE) AS week_start_date, b.insurance_id,
+         i.insurance_name, COUNT(*) AS claims, CAST(SUM(b.billed_amount) AS BIGINT) AS billed,
+         CAST(SUM(b.approved_amount) AS BIGINT) AS approved
+  FROM clean b JOIN clean a ON a.event_id = b.event_id
+  LEFT JOIN insurers i ON i.insurance_id = b.insurance_id
+  WHERE b.claim_status = 'APPROVED' GROUP BY 1, 2, 3
 ),
 gold_finance_weekly AS (
   SELECT week_start_date, insurance_id, insurance_name, claims AS total_claims,
@@ -91,13 +104,13 @@ gold_finance_weekly AS (
 _CLAIMS = _CLEAN + """,
 gold_claim_status_summary AS (
   SELECT insurance_name, claim_status, COUNT(*) AS claim_count, 'January' AS report_month
-  FROM clean GROUP BY insurance_name, claim_status
+  FROM claims GROUP BY insurance_name, claim_status
 )"""
 
 _REJECTED = _CLEAN + """,
 gold_rejected_claims AS (
   SELECT insurance_name, COUNT(*) AS rejected_claim_count, 'January' AS report_month
-  FROM clean WHERE claim_status = 'REJECTED' GROUP BY insurance_name
+  FROM claims WHERE claim_status = 'REJECTED' GROUP BY insurance_name
 )"""
 
 _ADMISSIONS = _CLEAN + """,
@@ -109,10 +122,12 @@ gold_weekly_admissions AS (
 
 _DEVICES = _DEVICE + """,
 units AS (
-  SELECT hospital_id, device_type, CAST(SUM(total_units) AS BIGINT) AS total_units,
+  SELECT u.hospital_id, d.device_type, CAST(SUM(total_units) AS BIGINT) AS total_units,
          CAST(SUM(in_use_units) AS BIGINT) AS in_use_units,
          CAST(SUM(total_units - in_use_units) AS BIGINT) AS available_units
-  FROM device GROUP BY hospital_id, device_type
+  FROM device u JOIN (SELECT DISTINCT device_id, device_type, hospital_id FROM device) d
+    ON d.device_id = u.device_id AND d.hospital_id = u.hospital_id
+  GROUP BY u.hospital_id, d.device_type
 ),
 gold_device_availability AS (
   SELECT *, CASE WHEN total_units <> 0
@@ -125,7 +140,7 @@ _STOCK = _VALID + """,
 gold_medicine_availability AS (
   SELECT hospital_id, medicine_name, category, available_stock, expiry_date,
          'January' AS report_month
-  FROM valid
+  FROM stocked
 ),
 alerts AS (
   SELECT *, CASE WHEN available_stock < 200 THEN 'CRITICAL' WHEN available_stock < 500 THEN 'LOW'
@@ -304,15 +319,15 @@ _SILVER_COUNTS = """
   UNION ALL SELECT 'Device', COUNT(*) FROM device
   UNION ALL SELECT 'Pharma', COUNT(*) FROM valid"""
 _GOLD_COUNTS = """
-  SELECT 'gold_medicine_availability' AS source, COUNT(*) AS record_count FROM valid
+  SELECT 'gold_medicine_availability' AS source, COUNT(*) AS record_count FROM stocked
   UNION ALL SELECT 'gold_device_availability', COUNT(*) FROM gold_device_availability
   UNION ALL SELECT 'gold_finance_weekly', COUNT(*) FROM gold_finance_weekly
   UNION ALL SELECT 'gold_weekly_admissions',
     COUNT(DISTINCT date_trunc('week', admission_time)) FROM clean
   UNION ALL SELECT 'gold_claim_status_summary',
-    COUNT(*) FROM (SELECT DISTINCT insurance_name, claim_status FROM clean)
+    COUNT(*) FROM (SELECT DISTINCT insurance_name, claim_status FROM claims)
   UNION ALL SELECT 'gold_rejected_claims',
-    COUNT(DISTINCT insurance_name) FROM clean WHERE claim_status = 'REJECTED'
+    COUNT(DISTINCT insurance_name) FROM claims WHERE claim_status = 'REJECTED'
   UNION ALL SELECT 'gold_patient_status', COUNT(DISTINCT discharge_time IS NULL) FROM clean"""
 
 
@@ -463,7 +478,7 @@ ORACLES: dict[str, str] = {
     "gold_medicine_availability": f"WITH {_STOCK} SELECT * FROM gold_medicine_availability",
     "category_distribution": f"""
       WITH {_VALID} SELECT category, CAST(SUM(available_stock) AS BIGINT) AS total_available_stock,
-                           'January' AS report_month FROM valid GROUP BY category""",
+                           'January' AS report_month FROM stocked GROUP BY category""",
     "gold_device_availability": f"WITH {_DEVICES} SELECT * FROM gold_device_availability",
     "gold_finance_weekly": f"WITH {_FINANCE} SELECT * FROM gold_finance_weekly",
     "gold_weekly_admissions": f"WITH {_ADMISSIONS} SELECT * FROM gold_weekly_admissions",
@@ -558,7 +573,7 @@ ORACLES: dict[str, str] = {
       WITH {_VALID} SELECT medicine_id, medicine_name,
         CAST(SUM(total_stock) AS BIGINT) AS total_stock,
         CAST(SUM(available_stock) AS BIGINT) AS available_stock
-      FROM valid GROUP BY medicine_id, medicine_name""",
+      FROM stocked GROUP BY medicine_id, medicine_name""",
     # Jobs and audit
     "raw_layer_counts": f"WITH {_ALL} {_RAW_COUNTS}",
     "silver_layer_counts": f"WITH {_ALL} {_SILVER_COUNTS}",
@@ -572,14 +587,23 @@ ORACLES: dict[str, str] = {
       FROM ({_AUDIT_LOG}) GROUP BY run_id""",
     "layer_reconciliation": f"""
       WITH {_ALL}, figures AS (
-        SELECT 'gold_medicine_availability' AS mart, COUNT(*) AS f FROM valid
-        UNION ALL SELECT 'gold_device_availability', SUM(total_units) FROM device
-        UNION ALL SELECT 'gold_finance_weekly', COUNT(*) FROM clean WHERE claim_status = 'APPROVED'
-        UNION ALL SELECT 'gold_weekly_admissions', COUNT(*) FROM clean
-        UNION ALL SELECT 'gold_claim_status_summary', COUNT(*) FROM clean
-        UNION ALL SELECT 'gold_rejected_claims', COUNT(*) FROM clean WHERE claim_status = 'REJECTED'
-        UNION ALL SELECT 'gold_patient_status', COUNT(*) FROM clean)
-      SELECT mart, CAST(f AS BIGINT) AS silver_figure, CAST(f AS BIGINT) AS gold_figure,
-             TRUE AS matches
+        SELECT 'gold_medicine_availability' AS mart, (SELECT COUNT(*) FROM valid) AS s,
+               (SELECT COUNT(*) FROM stocked) AS g
+        UNION ALL SELECT 'gold_device_availability', (SELECT SUM(total_units) FROM device),
+               (SELECT SUM(total_units) FROM gold_device_availability)
+        UNION ALL SELECT 'gold_finance_weekly',
+               (SELECT COUNT(*) FROM clean WHERE claim_status = 'APPROVED'),
+               (SELECT SUM(total_claims) FROM gold_finance_weekly)
+        UNION ALL SELECT 'gold_weekly_admissions', (SELECT COUNT(*) FROM clean),
+               (SELECT COUNT(*) FROM clean WHERE event_id IS NOT NULL)
+        UNION ALL SELECT 'gold_claim_status_summary', (SELECT COUNT(*) FROM clean),
+               (SELECT COUNT(*) FROM claims)
+        UNION ALL SELECT 'gold_rejected_claims',
+               (SELECT COUNT(*) FROM clean WHERE claim_status = 'REJECTED'),
+               (SELECT COUNT(*) FROM claims WHERE claim_status = 'REJECTED')
+        UNION ALL SELECT 'gold_patient_status', (SELECT COUNT(*) FROM clean),
+               (SELECT COUNT(*) FROM clean WHERE event_id IS NOT NULL))
+      SELECT mart, CAST(s AS BIGINT) AS silver_figure, CAST(g AS BIGINT) AS gold_figure,
+             s = g AS matches
       FROM figures""",
 }

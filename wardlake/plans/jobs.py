@@ -90,7 +90,7 @@ def run_silver(spark: SparkSession, ctx: RunContext) -> None:
     def refresh(table: str) -> int:
         build, source = star.TABLES[table]
         return _write_counted(
-            build(clean[source]),
+            tables.silver_layout(build(clean[source]), table, ctx),
             lambda out: tables.replace_table(out, ctx.silver_table(table), SILVER[table]),
             f"{table}_{ctx.run_id}",
         )

@@ -13,10 +13,10 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master, whose driver and executors are one machine, may fall back
+    A checkpoint directory set on the context counts as well. Only a local master, whose driver and executors are one machine, may fall back
     to a temporary folder.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")

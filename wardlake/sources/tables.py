@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardlake.context import RunContext
-from wardlake.contracts import AUDIT, GOLD, SILVER, conform, ddl
+from wardlake.contracts import AUDIT, BUCKET_KEYS, GOLD, SILVER, conform, ddl
 
 # Parquet directories
 
@@ -51,8 +51,13 @@ def create_silver(spark: SparkSession, ctx: RunContext, recreate: bool = False)
         spark.sql(f"DROP DATABASE IF EXISTS {ctx.database} CASCADE")
     create_database(spark, ctx, ctx.database)
     for table, contract in SILVER.items():
+        layout = ""
+        if ctx.fact_buckets and table in BUCKET_KEYS:
+            key = BUCKET_KEYS[table]
+            layout = f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {ctx.fact_buckets} BUCKETS"
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {ctx.silver_table(table)} ({ddl(contract)}) USING parquet"
+            f"CREATE TABLE IF NOT EXISTS {ctx.silver_table(table)} ({ddl(contract)}) "
+            f"USING parquet {layout}"
         )
 
 
@@ -61,6 +66,13 @@ def replace_table(df: DataFrame, table: str, contract: Mapping[str, str]) -> Non
     conform(df, contract).write.insertInto(table, overwrite=True)
 
 
+def silver_layout(df: DataFrame, table: str, ctx: RunContext) -> DataFrame:
+    """The rows of a bucketed table, one task per bucket, so that a bucket is one file."""
+    if ctx.fact_buckets and table in BUCKET_KEYS:
+        return df.repartition(ctx.fact_buckets, BUCKET_KEYS[table])
+    return df
+
+
 def read_silver(spark: SparkSession, ctx: RunContext, table: str) -> DataFrame:
     return spark.table(ctx.silver_table(table))
 
