@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,15 +56,20 @@ def test_a_wrong_header_in_any_later_file_fails_the_scan(spark, tmp_path):
         landing.read_landing_csv(spark, str(folder), DEVICE).collect()
 
 
-def test_manifest_counts_rows_per_file(spark, ctx):
-    for name, contract in CONTRACTS.items():
-        landing.write_landing_csv(text_frame(spark, name), ctx.landing_path(contract))
+def test_manifest_lists_every_expected_file(spark, ctx):
+    for name in ("Hospital", "Device"):
+        df = text_frame(spark, name).repartition(3)
+        landing.write_landing_csv(df, ctx.landing_path(CONTRACTS[name]))
+    folder = Path(ctx.landing_folder)
+    _write_csv(folder, "Pharma_events_December_2025.csv",
+               ",".join(PHARMA.columns), "MED001,Aspa,Painkiller,H01,1,1,2026-01-01")
     found = landing.landing_manifest(
-        spark, [(ctx.landing_path(c), c) for c in CONTRACTS.values()]
+        spark, str(folder), [ctx.landing_file(c) for c in CONTRACTS.values()]
     )
     assert tuples(found) == {
-        ("Hospital_events_January_2026.csv", 9), ("Device_events_January_2026.csv", 7),
-        ("Pharma_events_January_2026.csv", 8),
+        ("Hospital_events_January_2026.csv", 9, True),
+        ("Device_events_January_2026.csv", 7, True),
+        ("Pharma_events_January_2026.csv", 0, False),
     }
 
 

@@ -22,20 +22,20 @@ def plan_of(spark, name):
     return QUERIES[name](spark, SF)._jdf.queryExecution().toString()
 
 
-@pytest.fixture
-def no_broadcast(spark):
-    """Sizes as on a cluster: no table of the bound data is small."""
+@pytest.fixture(scope="module")
+def large_plans(spark):
+    """Plans for sizes as on a cluster: no table of the bound data counts as small."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
+    plans = {name: plan_of(spark, name) for name in sorted(set(QUERIES) - WRITING)}
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return plans
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
-def test_no_cross_join_no_python_no_forced_broadcast(spark, no_broadcast, name):
-    plan = plan_of(spark, name)
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastHashJoin", "Python",
-                     "MapInPandas", "ResolvedHint"):
-        assert operator not in plan
+def test_no_cross_join_no_python_no_forced_broadcast(large_plans):
+    unwanted = ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastHashJoin", "Python",
+                "MapInPandas", "ResolvedHint")
+    found = {(name, op) for name, plan in large_plans.items() for op in unwanted if op in plan}
+    assert found == set()
 
 
 def read_columns(plan):
@@ -51,20 +51,20 @@ def test_scans_read_only_the_columns_a_query_uses(spark):
     assert all("o_orderpriority" not in columns for columns in weekly)
 
 
-def test_claim_filter_reaches_the_orders_before_any_join(spark, no_broadcast):
-    plan = plan_of(spark, "gold_rejected_claims")
+def test_claim_filter_reaches_the_orders_before_any_join(large_plans):
+    plan = large_plans["gold_rejected_claims"]
     optimized = plan[plan.index("== Optimized Logical Plan"):plan.index("== Physical Plan")]
-    filters = [line for line in optimized.splitlines() if "o_orderstatus" in line and "Filter" in line]
-    assert filters
+    assert any("o_orderstatus" in line and "Filter" in line for line in optimized.splitlines())
 
 
-def test_only_small_results_pass_an_unpartitioned_window(spark, no_broadcast):
+def test_only_small_results_pass_an_unpartitioned_window(large_plans):
     """One row per distinct count, and one row per claim status."""
-    windows = {n for n in set(QUERIES) - WRITING if "Exchange SinglePartition" in plan_of(spark, n)
-               and "Window" in plan_of(spark, n)}
+    windows = {
+        name for name, plan in large_plans.items()
+        if "Exchange SinglePartition" in plan and "Window" in plan
+    }
     assert windows == {"vw_rejected_claims_ranking", "kpi_claim_distribution"}
     for name in windows:
-        plan = plan_of(spark, name)
-        physical = plan[plan.index("== Physical Plan"):]
+        physical = large_plans[name][large_plans[name].index("== Physical Plan"):]
         below = physical[physical.index("Exchange SinglePartition"):].splitlines()[1]
         assert "HashAggregate" in below

@@ -91,3 +91,10 @@ def test_enforce_names_every_failing_check():
     v.enforce("Device", checks, {f"check_{i}": 0 for i in range(len(checks))})
     with pytest.raises(v.ValidationError, match=r"not_null\(device_id\): 2; castable_int"):
         v.enforce("Device", checks, {"check_1": 2, "check_3": 1})
+
+
+def test_require_hands_the_rows_back_or_raises(spark):
+    df = text_frame(spark, "Hospital")
+    assert v.require(df, "Hospital", v.gate_checks(HOSPITAL)) is df
+    with pytest.raises(v.ValidationError, match=r"Hospital: gender\(patient_gender\): 1"):
+        v.require(df, "Hospital", [v.gender_check(), v.dob_check(AS_OF.replace(year=2031))])

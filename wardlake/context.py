@@ -51,9 +51,15 @@ class RunContext:
     def report_year(self) -> int:
         return self.report_period.year
 
+    @property
+    def landing_folder(self) -> str:
+        return f"{self.base_path}/landing/Raw_Data"
+
+    def landing_file(self, source: SourceContract) -> str:
+        return f"{source.name}_events_{self.report_month}_{self.report_year}.csv"
+
     def landing_path(self, source: SourceContract) -> str:
-        name = f"{source.name}_events_{self.report_month}_{self.report_year}.csv"
-        return f"{self.base_path}/landing/Raw_Data/{name}"
+        return f"{self.landing_folder}/{self.landing_file(source)}"
 
     def bronze_path(self, source: SourceContract) -> str:
         """One directory per run: a run whose gate fails leaves the last good one alone."""

@@ -144,3 +144,9 @@ def enforce(source: str, checks: Sequence[Check], counts: Mapping[str, int]) ->
     ]
     if failed:
         raise ValidationError(f"{source}: " + "; ".join(failed))
+
+
+def require(df: DataFrame, source: str, checks: Sequence[Check]) -> DataFrame:
+    """Count the violations now and raise if there are any; hands ``df`` back."""
+    enforce(source, checks, df.agg(*violation_counts(checks)).first().asDict())
+    return df

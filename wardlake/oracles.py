@@ -370,7 +370,8 @@ ORACLES: dict[str, str] = {
       FROM pharma""",
     "landing_manifest": f"""
       WITH {_HOSPITAL}, {_DEVICE}, {_PHARMA}
-      SELECT source || '_events_January_2026.csv' AS file_name, record_count AS row_count
+      SELECT source || '_events_January_2026.csv' AS file_name, record_count AS row_count,
+             record_count > 0 AS present
       FROM ({_RAW_COUNTS})""",
     "column_contract_report": f"""
       WITH {_HOSPITAL}, {_DEVICE}, {_PHARMA}
@@ -533,13 +534,15 @@ ORACLES: dict[str, str] = {
       WITH {_CLEAN} SELECT department, COUNT(*) AS admission_count FROM clean GROUP BY department""",
     "kpi_finance_totals": f"""
       WITH {_FINANCE}
-      SELECT SUM(total_billed_amount) AS total_billed, SUM(total_approved_amount) AS total_approved,
-             SUM(revenue_leakage_amount) AS total_revenue_leakage,
+      SELECT CAST(SUM(CAST(total_billed_amount AS BIGINT)) AS DOUBLE) AS total_billed,
+             CAST(SUM(CAST(total_approved_amount AS BIGINT)) AS DOUBLE) AS total_approved,
+             CAST(SUM(CAST(revenue_leakage_amount AS BIGINT)) AS DOUBLE) AS total_revenue_leakage,
              CAST(SUM(CAST(round(approval_percentage * 100) AS BIGINT)) AS DOUBLE)
                / CAST(COUNT(*) AS DOUBLE) / CAST(100 AS DOUBLE) AS avg_approval_percentage
       FROM gold_finance_weekly""",
     "kpi_leakage_by_insurer": f"""
-      WITH {_FINANCE} SELECT insurance_name, SUM(revenue_leakage_amount) AS revenue_leakage
+      WITH {_FINANCE} SELECT insurance_name,
+        CAST(SUM(CAST(revenue_leakage_amount AS BIGINT)) AS DOUBLE) AS revenue_leakage
       FROM gold_finance_weekly GROUP BY insurance_name""",
     "kpi_claim_distribution": f"""
       WITH {_CLEAN}, counts AS (

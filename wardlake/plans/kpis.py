@@ -31,6 +31,11 @@ def kpi_admissions_by_department(clean_hospital: DataFrame) -> DataFrame:
 # Finance and claims
 
 
+def _money_total(name: str) -> Column:
+    """Marts hold whole amounts as DOUBLE; summing them as BIGINT keeps the total exact."""
+    return F.sum(F.col(name).cast("bigint")).cast("double")
+
+
 def kpi_finance_totals(finance_weekly: DataFrame) -> DataFrame:
     """Totals, and the unweighted mean of the approval percentages.
 
@@ -41,16 +46,16 @@ def kpi_finance_totals(finance_weekly: DataFrame) -> DataFrame:
         F.sum(hundredths).cast("double"), F.count("approval_percentage").cast("double")
     )
     return finance_weekly.agg(
-        F.sum("total_billed_amount").alias("total_billed"),
-        F.sum("total_approved_amount").alias("total_approved"),
-        F.sum("revenue_leakage_amount").alias("total_revenue_leakage"),
+        _money_total("total_billed_amount").alias("total_billed"),
+        _money_total("total_approved_amount").alias("total_approved"),
+        _money_total("revenue_leakage_amount").alias("total_revenue_leakage"),
         (mean / F.lit(100.0)).alias("avg_approval_percentage"),
     )
 
 
 def kpi_leakage_by_insurer(finance_weekly: DataFrame) -> DataFrame:
     return finance_weekly.groupBy("insurance_name").agg(
-        F.sum("revenue_leakage_amount").alias("revenue_leakage")
+        _money_total("revenue_leakage_amount").alias("revenue_leakage")
     )
 
 

@@ -144,7 +144,9 @@ def landing_csv_round_trip(b: Bound) -> DataFrame:
 def landing_manifest(b: Bound) -> DataFrame:
     ctx = b.context()
     b.land(ctx, *BOUND_SOURCES)
-    return landing.landing_manifest(b.spark, [(ctx.landing_path(s), s) for s in BOUND_SOURCES])
+    return landing.landing_manifest(
+        b.spark, ctx.landing_folder, [ctx.landing_file(s) for s in BOUND_SOURCES]
+    )
 
 
 @query

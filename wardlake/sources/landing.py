@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -40,16 +40,26 @@ def read_landing_csv(spark: SparkSession, path: str, contract: SourceContract) -
     )
 
 
-def landing_manifest(
-    spark: SparkSession, paths: Iterable[tuple[str, SourceContract]]
-) -> DataFrame:
-    """Rows per landing file; a file without rows or without a row here is missing."""
-    counts = [
-        read_landing_csv(spark, path, contract).select("file_path") for path, contract in paths
-    ]
-    merged = counts[0]
-    for other in counts[1:]:
-        merged = merged.unionByName(other)
-    return merged.groupBy(landing_file(F.col("file_path"), 1).alias("file_name")).agg(
-        F.count("*").alias("row_count")
+def landing_manifest(spark: SparkSession, folder: str, expected: Sequence[str]) -> DataFrame:
+    """``(file_name, row_count, present)`` for every expected landing file, found or not.
+
+    The folder is scanned once. Rows are counted per physical file first, so the name
+    is taken out of a path once per file and not once per row.
+    """
+    per_part = (
+        spark.read.options(**CSV_OPTIONS)
+        .option("recursiveFileLookup", True)
+        .schema("first_column STRING")
+        .csv(folder)
+        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.count("*").alias("part_rows"))
+    )
+    found = per_part.groupBy(landing_file(F.col("path"), 1).alias("file_name")).agg(
+        F.sum("part_rows").alias("found_rows")
+    )
+    wanted = spark.createDataFrame([(name,) for name in expected], "file_name string")
+    return wanted.join(found, "file_name", "left").select(
+        "file_name",
+        F.coalesce("found_rows", F.lit(0)).alias("row_count"),
+        F.col("found_rows").isNotNull().alias("present"),
     )

@@ -54,7 +54,7 @@ def create_silver(spark: SparkSession, ctx: RunContext, recreate: bool = False)
         layout = ""
         if ctx.fact_buckets and table in BUCKET_KEYS:
             key = BUCKET_KEYS[table]
-            layout = f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {ctx.fact_buckets} BUCKETS"
+            layout = f"CLUSTERED BY ({key}) INTO {ctx.fact_buckets} BUCKETS"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {ctx.silver_table(table)} ({ddl(contract)}) "
             f"USING parquet {layout}"
