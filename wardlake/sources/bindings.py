@@ -7,6 +7,8 @@ joined, so a hot part costs one row per supplier.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardlake.contracts import APPROVED, PENDING, REJECTED, SourceContract
@@ -27,7 +29,8 @@ def hospital_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation = (_table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
     key, patient = F.col("o_orderkey"), F.col("o_custkey")
     ordered = F.col("o_orderdate").cast("timestamp_ntz")
-    admitted = ordered + F.make_dt_interval(hours=(key % 24).cast("int"))
+    hour, day = F.lit(timedelta(hours=1)), F.lit(timedelta(days=1))
+    admitted = ordered + hour * (key % 24)
     billed = F.floor("o_totalprice").cast("bigint")
     return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -52,11 +55,8 @@ def hospital_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             _prefixed("H", F.col("n_regionkey") + 1).alias("hospital_id"),
             admitted.alias("admission_time"),
             F.when(key % 5 == 0, None)
-            .when(key % 103 == 0, admitted - F.make_dt_interval(days=F.lit(1)))
-            .otherwise(
-                admitted
-                + F.make_dt_interval(days=(key % 15).cast("int"), hours=(key % 7).cast("int"))
-            )
+            .when(key % 103 == 0, admitted - day)
+            .otherwise(admitted + day * (key % 15) + hour * (key % 7))
             .alias("discharge_time"),
             billed.alias("billed_amount"),
             F.when(key % 107 == 0, billed + 1).otherwise(billed - key % 1000).alias(
