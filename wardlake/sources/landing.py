@@ -54,12 +54,23 @@ def landing_manifest(spark: SparkSession, folder: str, expected: Sequence[str])
         .groupBy(F.col("_metadata.file_path").alias("path"))
         .agg(F.count("*").alias("part_rows"))
     )
-    found = per_part.groupBy(landing_file(F.col("path"), 1).alias("file_name")).agg(
-        F.sum("part_rows").alias("found_rows")
+    found = per_part.select(
+        landing_file(F.col("path"), 1).alias("file_name"),
+        "part_rows",
+        F.lit(False).alias("expected"),
     )
-    wanted = spark.createDataFrame([(name,) for name in expected], "file_name string")
-    return wanted.join(found, "file_name", "left").select(
-        "file_name",
-        F.coalesce("found_rows", F.lit(0)).alias("row_count"),
-        F.col("found_rows").isNotNull().alias("present"),
+    # A union, not a join: the key of a join would be tested for NULL on every row.
+    wanted = spark.createDataFrame(
+        [(name, 0, True) for name in expected], "file_name string, part_rows bigint, expected boolean"
+    )
+    return (
+        wanted.unionByName(found)
+        .groupBy("file_name")
+        .agg(
+            F.sum("part_rows").alias("row_count"),
+            F.bool_or(~F.col("expected")).alias("present"),
+            F.bool_or("expected").alias("expected"),
+        )
+        .filter("expected")
+        .drop("expected")
     )
