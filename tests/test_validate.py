@@ -90,7 +90,11 @@ def test_enforce_names_every_failing_check():
     checks = v.gate_checks(DEVICE)
     v.enforce("Device", checks, {f"check_{i}": 0 for i in range(len(checks))})
     with pytest.raises(v.ValidationError, match=r"not_null\(device_id\): 2; castable_int"):
-        v.enforce("Device", checks, {"check_1": 2, "check_3": 1})
+        v.enforce(
+            "Device", checks, {**{f"check_{i}": 0 for i in range(len(checks))}, "check_1": 2, "check_3": 1}
+        )
+    with pytest.raises(KeyError):
+        v.enforce("Device", checks, {})
 
 
 def test_require_hands_the_rows_back_or_raises(spark):

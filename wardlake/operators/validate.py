@@ -136,11 +136,11 @@ def check_columns(found: Sequence[str], expected: Sequence[str]) -> None:
 
 
 def enforce(source: str, checks: Sequence[Check], counts: Mapping[str, int]) -> None:
-    """Raise if any of the counts named by ``violation_counts`` is above zero."""
+    """Raise if any of the counts named by ``violation_counts`` is above zero or not there."""
     failed = [
         f"{c.name}({c.column}): {counts[f'check_{i}']}"
         for i, c in enumerate(checks)
-        if counts.get(f"check_{i}", 0) > 0
+        if counts[f"check_{i}"] > 0
     ]
     if failed:
         raise ValidationError(f"{source}: " + "; ".join(failed))

@@ -263,7 +263,9 @@ _WEEK_NUMBER = (
     " + 1 AS INTEGER)"
 )
 
-_BILLING = "SELECT event_id AS admission_id, insurance_id, billed_amount, approved_amount, claim_status FROM clean"
+_BILLING = """
+  SELECT event_id AS admission_id, insurance_id, billed_amount, approved_amount, claim_status
+  FROM clean"""
 
 _FINANCE_SUMMARY = f"""
   SELECT week_start_date, {_WEEK_NUMBER} AS week_number, insurance_id, insurance_name, total_claims,

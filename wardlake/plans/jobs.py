@@ -55,7 +55,7 @@ def raw_to_bronze(spark: SparkSession, ctx: RunContext, source: SourceContract)
         ctx.bronze_path(source),
     )
     enforce(source.name, checks, seen.get)
-    return seen.get.get("rows", 0)
+    return seen.get["rows"]
 
 
 def run_raw(
@@ -135,7 +135,7 @@ def run_medallion(
 def _write_counted(df: DataFrame, write: Callable[[DataFrame], None], name: str) -> int:
     seen = Observation(name)
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get.get("rows", 0)
+    return seen.get["rows"]
 
 
 def _concurrently(names: Iterable[str], work: Callable[[str], T]) -> dict[str, T]:
