@@ -6,6 +6,9 @@ columns it names, and returns columns of its own, so extra columns of any name a
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,8 +22,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it, if they see that path.
+
+    On a cluster the library is installed or sent with --py-files; then this changes nothing.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two input columns as ``doc_id`` BIGINT and ``text``, a NULL text as the empty one."""
+    workers_import(docs.sparkSession)
     return docs.select(
         docs[id_col].cast("long").alias("doc_id"),
         F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),

@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardlake.llm.common import documents
+from wardlake.llm.common import documents, labels
+from wardlake.llm.fingerprints import fingerprint_neighbours
 from wardlake.llm.sentencepiece_codec import sentencepiece_codec
 from wardlake.llm.token_counts import token_counts
 from wardlake.llm.token_files import token_files
+from wardlake.llm.toxicity import toxicity
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -24,16 +26,26 @@ def op3_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec(documents(spark, sf_dir), PIECE_BPE)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_neighbours(documents(spark, sf_dir))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), PIECE_BPE, limit=4096)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_token_files,
         op3_sentencepiece_codec,
+        op6_fingerprints,
         op7_token_counts,
+        op8_toxicity,
     )
 }
 
