@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from wardlake.llm import exact_dedup, licenses, mixing
 from wardlake.llm.common import documents, labels
 from wardlake.llm.fingerprints import fingerprint_neighbours
 from wardlake.llm.sentencepiece_codec import sentencepiece_codec
@@ -26,6 +27,10 @@ def op3_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec(documents(spark, sf_dir), PIECE_BPE)
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(documents(spark, sf_dir))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(documents(spark, sf_dir))
 
@@ -38,15 +43,30 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(documents(spark, sf_dir), mixing.PRODUCTION)
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_token_files,
         op3_sentencepiece_codec,
+        op4_exact_dedup,
         op6_fingerprints,
         op7_token_counts,
         op8_toxicity,
+        op9_mix_sources,
+        op10_license_scan,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_exact_dedup": exact_dedup.ORACLE,
+    "op9_mix_sources": mixing.oracle(),
+    "op10_license_scan": licenses.oracle(),
+}
