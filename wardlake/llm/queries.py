@@ -11,6 +11,7 @@ from wardlake.llm import exact_dedup, licenses, mixing
 from wardlake.llm.common import documents, labels
 from wardlake.llm.fingerprints import fingerprint_neighbours
 from wardlake.llm.sentencepiece_codec import sentencepiece_codec
+from wardlake.llm.substring_dedup import substring_dedup
 from wardlake.llm.token_counts import token_counts
 from wardlake.llm.token_files import token_files
 from wardlake.llm.toxicity import toxicity
@@ -19,6 +20,10 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(documents(spark, sf_dir))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir), WORD_BPE, end_id=2)
 
@@ -54,6 +59,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_substring_dedup,
         op2_token_files,
         op3_sentencepiece_codec,
         op4_exact_dedup,
