@@ -1,12 +1,65 @@
-"""Documents to a training mix: the stages and the run over a table directory."""
+"""Documents to a training mix: toxicity, exact copies, near copies, source mix, token ids.
+
+Each stage takes the documents its predecessor kept and returns those it keeps, with the
+columns of ``documents``; the last returns the documents that are left with their token ids.
+
+Rows keep their columns whatever those are called. Defined cases of the stages are those of
+the operators they call; a stage over an empty table returns an empty table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlake.llm.common import documents, written
+from wardlake.llm.common import documents, id_and_text, labels, same_row, written
+from wardlake.llm.exact_dedup import drop_copies
+from wardlake.llm.jaccard_join import jaccard_components
+from wardlake.llm.mixing import Mix, PRODUCTION, take_mix
 from wardlake.llm.queries import PIECE_BPE
 from wardlake.llm.sentencepiece_codec import sentencepiece_codec
+from wardlake.llm.toxicity import labelled, learn, toxicity_scores
+
+# As the registered mix, but a document is taken once at most.
+ONE_EPOCH = Mix(PRODUCTION.domain_of, PRODUCTION.default_domain, PRODUCTION.weights, max_epochs=1)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity stays below the threshold."""
+    rows = id_and_text(docs, "doc_id", "text")
+    scorer = learn(rows, labelled(labels(spark, sf_dir)))
+    # The row goes along as one value, so that its columns may have any names.
+    scored = toxicity_scores(docs.select(F.struct("*").alias("row"), docs["text"].alias("text")), scorer)
+    return scored.where("predicted = 0").select("row.*")
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, the one with the greatest id."""
+    return drop_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies, the one with the least id.
+
+    Documents without shingles link with nothing; those of them that repeat id and text are one.
+    """
+    found = jaccard_components(docs)
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    gone = written(found.where(~stays).select("doc_id", "text_key").distinct(), "gone")
+    keyed = docs.select(
+        F.struct("*").alias("row"), docs["doc_id"].cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("text_key"),
+    )
+    left = same_row(keyed, gone, "left_anti")
+    # Rows that repeat an id and its text: only if there are any, one of them is picked.
+    again = found.where(stays).groupBy("doc_id", "text_key").count().where("count > 1")
+    if again.head(1):
+        left = left.dropDuplicates(["doc_id", "text_key"])
+    return left.select("row.*")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The prefix of each source that its budget pays for."""
+    return take_mix(docs, ONE_EPOCH)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,12 +67,20 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sentencepiece_codec(docs, PIECE_BPE)
 
 
-STAGES = [("sentencepiece", encode)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("sentencepiece", encode),
+]
 
+# Learned scores and token ids have no SQL form; tests compare with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over a table directory, each written and read again."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)

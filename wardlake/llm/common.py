@@ -94,3 +94,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def same_row(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
+    """Join on (doc_id, text_key), NULL ids equal."""
+    other = right.withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
+    on = (left["text_key"] == other["__key"]) & left["doc_id"].eqNullSafe(other["__id"])
+    return left.join(other, on, how).drop("__id", "__key")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wardlake.llm import exact_dedup, licenses, mixing
 from wardlake.llm.common import documents, labels
 from wardlake.llm.fingerprints import fingerprint_neighbours
+from wardlake.llm.jaccard_join import jaccard_components
 from wardlake.llm.sentencepiece_codec import sentencepiece_codec
 from wardlake.llm.substring_dedup import substring_dedup
 from wardlake.llm.token_counts import token_counts
@@ -36,6 +37,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(documents(spark, sf_dir))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_token_files,
         op3_sentencepiece_codec,
         op4_exact_dedup,
+        op5_jaccard_join,
         op6_fingerprints,
         op7_token_counts,
         op8_toxicity,

@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wardlake.llm.common import gram_hashes, id_and_text, mix, word_hashes, words, written
+from wardlake.llm.common import gram_hashes, id_and_text, mix, same_row, word_hashes, words, written
 
 WINDOW = 35
 GRAM = 8
@@ -345,13 +345,6 @@ def substring_dedup(
     return decided.where("open is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(late)
 
 
-def same_row(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left join on (doc_id, text_key), NULL ids equal."""
-    other = right.withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
-    on = (left["text_key"] == other["__key"]) & left["doc_id"].eqNullSafe(other["__id"])
-    return left.join(other, on, "left").drop("__id", "__key")
-
-
 def _by_table(solve):
     def run(table: pa.Table) -> pa.Table:
         return pa.Table.from_batches(list(solve(iter(table.to_batches()))), schema=OFFSETS)
