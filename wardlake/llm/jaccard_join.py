@@ -329,7 +329,8 @@ def jaccard_components(
     placed = classes.join(roots, classes["set_id"] == roots["node"], "left")
     placed = placed.select("set_id", "class_id", F.coalesce("root", "set_id").alias("root"))
     least = placed.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    known = placed.join(least, "root").select("set_id", "class_id", "component_id")
+    # Written first, so that the last join reads plain partitions, which Spark splits for a large class.
+    known = written(placed.join(least, "root").select("set_id", "class_id", "component_id"), "known")
     full = sets.where("n_shingles > 0").join(known, "set_id").select("doc_id", "n_shingles", "component_id", "class_id", "text_key")
     own = F.col("doc_id")
     bare = sets.where("n_shingles = 0").select("doc_id", "n_shingles", own.alias("component_id"), own.alias("class_id"), "text_key")

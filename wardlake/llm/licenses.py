@@ -176,18 +176,24 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the rules, and, sorted, the known sentences that no rule took."""
     rows = id_and_text(docs, id_col, text_col).select("doc_id", identifiers(F.col("text")).alias("ids"))
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_pattern(ids)).alias("ids")) for name, ids in RULES])
-    empty = F.struct(F.col("ids").alias("rest"), F.array().cast("array<string>").alias("found"))
+    empty = F.struct(F.col("ids").alias("rest"), F.array().cast("array<string>").alias("found"), F.lit("").alias("taken"))
 
     def match(state: Column, rule: Column) -> Column:
         hit = F.contains(state["rest"], rule["ids"])
         return F.struct(
             F.when(hit, F.replace(state["rest"], rule["ids"], F.lit(TAKEN))).otherwise(state["rest"]).alias("rest"),
             F.when(hit, F.array_append(state["found"], rule["name"])).otherwise(state["found"]).alias("found"),
+            F.when(hit, F.concat(state["taken"], rule["ids"])).otherwise(state["taken"]).alias("taken"),
         )
 
     done = rows.withColumn("done", F.when(F.col("ids") != "", F.aggregate(rules, empty, match)))
+
+    def free(i: Column) -> Column:
+        # What one reading gave to a rule is not left over in the other.
+        return (i != "") & ~F.contains(F.col("done.taken"), F.concat(F.lit("<"), i, F.lit(">")))
+
     second = F.element_at(F.split("ids", TAKEN), -1)
-    left = F.array_sort(F.array_distinct(F.filter(F.split(F.regexp_replace("done.rest", "[<>]+", " "), " "), lambda i: i != "")))
+    left = F.array_sort(F.array_distinct(F.filter(F.split(F.regexp_replace("done.rest", "[<>]+", " "), " "), free)))
     return done.select(
         "doc_id",
         (F.length(second) - F.length(F.replace(second, F.lit("<"), F.lit("")))).cast("long").alias("n_sentences"),
@@ -211,16 +217,16 @@ def oracle() -> str:
         steps.append(
             f"r{k + 1} AS (SELECT doc_id, n_sentences, replace(rest, '{p}', '{TAKEN}') AS rest, "
             f"CASE WHEN contains(rest, '{p}') AND NOT list_contains(found, '{name}') THEN list_append(found, '{name}') "
-            f"ELSE found END AS found FROM r{k})"
+            f"ELSE found END AS found, CASE WHEN contains(rest, '{p}') THEN taken || '{p}' ELSE taken END AS taken FROM r{k})"
         )
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return (
         f"WITH l AS (SELECT doc_id, {lower} AS lower, MAP {{{table}}} AS known FROM documents), "
         f"b AS (SELECT doc_id, {reading(*READINGS[0])} AS one, {reading(*READINGS[1])} AS two FROM l), "
         f"r0 AS (SELECT doc_id, CAST(length(two) - length(replace(two, '<', '')) AS BIGINT) AS n_sentences, "
-        f"CASE WHEN one || two = '' THEN '' ELSE one || '{TAKEN}' || two END AS rest, CAST([] AS VARCHAR[]) AS found FROM b), "
+        f"CASE WHEN one || two = '' THEN '' ELSE one || '{TAKEN}' || two END AS rest, CAST([] AS VARCHAR[]) AS found, '' AS taken FROM b), "
         + ", ".join(steps)
         + f" SELECT doc_id, n_sentences, array_to_string(found, '|') AS licenses, coalesce(array_to_string("
-        f"list_sort(list_distinct(list_filter(string_split(regexp_replace(rest, '[<>]+', ' ', 'g'), ' '), lambda i: i <> ''))), '|'), '') AS unmatched "
+        f"list_sort(list_distinct(list_filter(string_split(regexp_replace(rest, '[<>]+', ' ', 'g'), ' '), lambda i: i <> '' AND NOT contains(taken, '<' || i || '>')))), '|'), '') AS unmatched "
         f"FROM r{len(RULES)}"
     )

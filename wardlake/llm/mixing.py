@@ -202,6 +202,8 @@ def oracle(mix: Mix = PRODUCTION) -> str:
         f"m AS (SELECT s.*, {case('source', mix.domain_of, mix.default_domain)} AS domain FROM s)",
         f"""leaf AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens,
           CAST(sum(n_tokens) AS HUGEINT) * {mix.max_epochs} AS capacity FROM m GROUP BY ALL)""",
+        f"live AS (SELECT * FROM leaf WHERE "
+        + " AND ".join(f"{case(level, mix.weights.get(level, {}), mix.default_weight)} > 0" for level in LEVELS) + ")",
         f"b_ AS (SELECT CAST(coalesce(sum(n_tokens), 0) AS HUGEINT) * {mix.budget_percent} // 100 AS parent_budget FROM m)",
     ]
     above = "b_"
@@ -211,7 +213,7 @@ def oracle(mix: Mix = PRODUCTION) -> str:
         join = f"JOIN {above} USING ({parent})" if parent else f"CROSS JOIN {above}"
         steps += [
             f"""n{depth} AS (SELECT {path}, sum(capacity) AS capacity,
-              CAST({case(level, mix.weights.get(level, {}), mix.default_weight)} AS HUGEINT) AS weight FROM leaf GROUP BY {path})""",
+              CAST({case(level, mix.weights.get(level, {}), mix.default_weight)} AS HUGEINT) AS weight FROM live GROUP BY {path})""",
             f"""o{depth} AS (SELECT *, coalesce(sum(capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS given,
               sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left
               FROM n{depth} {join} WHERE weight > 0

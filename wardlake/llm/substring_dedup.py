@@ -303,14 +303,15 @@ def substring_dedup(
         found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("segment").alias("low"), F.max("segment").alias("high"))
         .where("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("settled"))
     )
-    repeats = written(found.join(repeated, "anchor"), "repeats")
+    # Written first, so that the join reads plain partitions, which Spark splits where an anchor is hot.
+    repeats = written(found.join(written(repeated, "anchors"), "anchor"), "repeats")
     # 2. Distinct segments of the others: occurrences, and one row that is to show its words.
     unsettled = repeats.where(~F.col("settled"))
     distinct = unsettled.groupBy("anchor", "segment").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key", "first")).alias("shows")
     )
     sizes = distinct.groupBy("anchor").agg((F.count("*") > hot).alias("hot"))
-    distinct = distinct.join(sizes, "anchor")
+    distinct = written(distinct.join(sizes, "anchor"), "distinct")
     known = unsettled.drop("settled").join(distinct, ["anchor", "segment"]).select(
         "doc_id", "text_key", "anchor", "segment", "first", "more", "n", "hot", (F.col("n") > 1).alias("settled"),
         F.struct("doc_id", "text_key", "first").eqNullSafe(F.col("shows")).alias("shown"),
