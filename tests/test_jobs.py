@@ -1,12 +1,14 @@
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.data import CONTRACTS, changed, text_frame, tuples
 from wardlake.contracts import GOLD, HOSPITAL, SILVER
 from wardlake.operators import audit
 from wardlake.operators.validate import ValidationError
-from wardlake.plans import jobs, marts, views
+from wardlake.plans import jobs, kpis, marts, views
 from wardlake.sources import tables
 
 
@@ -30,13 +32,14 @@ def test_full_run_twice_gives_the_same_tables(spark, ctx):
     assert all_rows(spark, ctx) == first
 
     log = spark.table(ctx.audit_table)
-    assert log.count() == 28
+    assert log.count() == 32
     assert tuples(log.filter("run_id = 'run2'"), "layer", "source", "record_count", "status") == {
         ("Init", "ALL", 0, "RUNNING"),
         ("raw", "Hospital", 9, "Success"), ("raw", "Device", 7, "Success"),
         ("raw", "Pharma", 8, "Success"),
         ("silver", "Hospital", 5, "Success"), ("silver", "Device", 7, "Success"),
-        ("silver", "Pharma", 5, "Success"),
+        ("silver", "Pharma", 5, "Success"), ("reject", "Hospital", 4, "Success"),
+        ("reject", "Pharma", 3, "Success"),
         ("gold", "gold_medicine_availability", 5, "Success"),
         ("gold", "gold_device_availability", 6, "Success"),
         ("gold", "gold_finance_weekly", 2, "Success"),
@@ -45,8 +48,15 @@ def test_full_run_twice_gives_the_same_tables(spark, ctx):
         ("gold", "gold_rejected_claims", 1, "Success"),
         ("gold", "gold_patient_status", 2, "Success"),
     }
-    assert tuples(audit.audit_run_health(log)) == {("run1", 13, True), ("run2", 13, True)}
+    assert tuples(audit.audit_run_health(log)) == {("run1", 15, True), ("run2", 15, True)}
     assert audit.audit_by(log, layer="raw", run_id="run1").count() == 3
+    assert tuples(audit.raw_balance(log).filter("run_id = 'run2'")) == {
+        ("run2", "Hospital", 9, 5, 4, True), ("run2", "Pharma", 8, 5, 3, True)
+    }
+    kept = spark.read.parquet(ctx.reject_path("Hospital"))
+    assert {r.event_id: r.failed_rules for r in kept.collect()} == {
+        "T4": ["gender"], "T5": ["dob"], "T6": ["stay"], "T7": ["billing"]
+    }
 
 
 def test_views_are_queryable_by_name(spark, ctx):
@@ -109,6 +119,51 @@ def test_history_keeps_other_months(spark, ctx):
         (2026, "January", "Currently Admitted", 2), (2026, "January", "Discharged", 3),
     ]
     assert set(gold) == set(GOLD)
+    silver = lambda table: tables.read_silver(spark, january, table)
+    assert audit.layer_reconciliation(silver, gold, january).filter("NOT matches").count() == 0
+
+
+def test_views_and_measures_keep_months_apart(spark, ctx):
+    one, two = replace(ctx, history=True), replace(ctx, history=True, input_date="20260301", run_id="run2")
+    for run in (one, two):
+        land(spark, run)
+        jobs.run_medallion(spark, run)
+    both = tables.external_gold_tables(spark, one)
+    month = {mart: df.filter("report_month = 'January'").drop("report_year") for mart, df in both.items()}
+    for view, mart in views.VIEWS.values():
+        whole, single = view(both[mart]), view(month[mart])
+        for name in ("January", "February"):
+            part = whole.filter(F.col("report_month") == name).drop("report_year", "report_month")
+            assert tuples(part, *sorted(part.columns)) == tuples(single.drop("report_month"), *sorted(part.columns))
+    for measure, mart in (
+        (kpis.kpi_finance_totals, "gold_finance_weekly"), (kpis.kpi_leakage_by_insurer, "gold_finance_weekly"),
+        (kpis.kpi_claim_distribution, "gold_claim_status_summary"),
+        (kpis.kpi_units_by_device_type, "gold_device_availability"),
+        (kpis.kpi_utilization_matrix, "gold_device_availability"),
+    ):
+        single = measure(month[mart])
+        whole = measure(both[mart])
+        assert set(whole.columns) == {*single.columns, "report_year", "report_month"}
+        for name in ("January", "February"):
+            part = whole.filter(F.col("report_month") == name)
+            assert tuples(part, *single.columns) == tuples(single, *single.columns)
+
+
+def test_a_repeated_id_is_not_bucketed(spark, ctx):
+    rows = changed("Hospital", 1, event_id="T1")
+    bucketed = replace(ctx, fact_buckets=2)
+    land(spark, bucketed, Hospital=rows)
+    with pytest.raises(ValidationError, match="admission_id is not unique"):
+        jobs.run_medallion(spark, bucketed)
+
+
+def test_drop_run_leaves_nothing(spark, ctx):
+    land(spark, ctx)
+    jobs.run_medallion(spark, ctx)
+    jobs.drop_run(spark, ctx)
+    assert not Path(ctx.base_path).exists()
+    names = {r[0] for r in spark.sql("SHOW DATABASES").collect()}
+    assert not names & {ctx.database, ctx.gold_database, ctx.audit_database}
 
 
 def test_bucketed_facts_join_without_a_shuffle_of_the_facts(spark, ctx):

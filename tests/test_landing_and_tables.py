@@ -3,10 +3,13 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import AS_OF
 from tests.data import CONTRACTS, changed, text_frame, tuples
 from wardlake.contracts import DEVICE, GOLD, HOSPITAL, PHARMA, SILVER
+from wardlake.operators import cleanse, star, validate
 from wardlake.operators.validate import ValidationError
-from wardlake.sources import jdbc, landing, tables
+from wardlake.plans import jobs, kpis
+from wardlake.sources import bindings, jdbc, landing, tables
 
 
 def test_csv_round_trip_keeps_quotes_commas_and_nulls(spark, tmp_path):
@@ -56,6 +59,86 @@ def test_a_wrong_header_in_any_later_file_fails_the_scan(spark, tmp_path):
         landing.read_landing_csv(spark, str(folder), DEVICE).collect()
 
 
+def test_a_wrong_header_fails_whatever_is_read(spark, tmp_path):
+    header = ",".join(PHARMA.columns)
+    line = "MED001,Aspa,Painkiller,H01,1,1,2026-01-01"
+    for i, bad in enumerate([
+        header.replace("medicine_id,medicine_name", "medicine_name,medicine_id"),
+        header.replace("expiry_date", "expires"), header + ",extra",
+    ]):
+        folder = tmp_path / f"p{i}"
+        _write_csv(folder, "a.csv", header, *[line] * 9)
+        _write_csv(folder, "b.csv", bad, line)
+        with pytest.raises(Exception, match="(?i)header"):
+            landing.read_landing_csv(spark, str(folder), PHARMA).agg(F.count("*")).collect()
+        report = landing.header_report(spark, str(folder), PHARMA)
+        assert tuples(report, "header", "passed") == {(header, True), (bad, False)}
+
+
+def test_blanks_survive_and_line_breaks_are_refused(spark, tmp_path):
+    rows = changed("Pharma", 0, medicine_name="  Aspa ", total_stock=" 7 ")
+    path = str(tmp_path / "Pharma_events_January_2026.csv")
+    landing.write_landing_csv(text_frame(spark, "Pharma", rows), path)
+    assert tuples(landing.read_landing_csv(spark, path, PHARMA).drop("file_path")) == set(rows)
+    broken = text_frame(spark, "Pharma", changed("Pharma", 0, medicine_name="As\npa"))
+    with pytest.raises(Exception, match="line break"):
+        landing.write_landing_csv(broken, str(tmp_path / "broken.csv"))
+
+
+def test_short_and_long_records_fail_the_gate(spark, ctx):
+    header = ",".join(PHARMA.columns)
+    good = "MED001,Aspa,Painkiller,H01,1,1,2026-01-01"
+    folder = Path(ctx.landing_path(PHARMA))
+    folder.mkdir(parents=True)
+    _write_csv(folder, "a.csv", header, good, good.removesuffix(",2026-01-01"), good + ",more", good)
+    with pytest.raises(ValidationError, match=r"record_shape\(bad_record\): 2"):
+        jobs.raw_to_bronze(spark, ctx, PHARMA)
+
+
+def test_unreadable_dates_fail_the_gate(spark, ctx):
+    rows = changed("Hospital", 0, patient_dob="31/12/1980", admission_time="garbage", discharge_time="junk")
+    landing.write_landing_csv(text_frame(spark, "Hospital", rows), ctx.landing_path(HOSPITAL))
+    with pytest.raises(ValidationError, match=r"readable_date\(patient_dob\): 1; readable_time\(admission_time\): 1; readable_time\(discharge_time\): 1"):
+        jobs.raw_to_bronze(spark, ctx, HOSPITAL)
+
+
+def test_a_file_with_only_a_header_is_present(spark, ctx):
+    landing.write_landing_csv(text_frame(spark, "Pharma"), ctx.landing_path(PHARMA))
+    folder = Path(ctx.landing_path(DEVICE))
+    folder.mkdir(parents=True)
+    _write_csv(folder, "part-0.csv", ",".join(DEVICE.columns))
+    found = landing.landing_manifest(spark, ctx.landing_folder, [ctx.landing_file(s) for s in (PHARMA, DEVICE, HOSPITAL)])
+    assert tuples(found) == {
+        (ctx.landing_file(PHARMA), 8, True), (ctx.landing_file(DEVICE), 0, True), (ctx.landing_file(HOSPITAL), 0, False)
+    }
+
+
+def test_a_large_pair_keeps_its_whole_stock(spark, tmp_path):
+    """More than an INT holds, for one part and supplier."""
+    part = spark.createDataFrame([(1, "Aspa", "BOX")], "p_partkey long, p_name string, p_type string")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    lines = spark.range(60).selectExpr(
+        "1L as l_partkey", "2L as l_suppkey", "double(2000000) as l_quantity", "timestamp'2026-05-01' as l_shipdate"
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    row = bindings.pharma_events(spark, str(tmp_path)).head()
+    assert (row.total_stock, row.issued_stock) == (2_400_000_000, 240_000_000)
+    landed = spark.createDataFrame([tuple(map(str, row))], PHARMA.text_schema)
+    kept = star.fact_medicine_inventory(cleanse.clean_pharma(landed, AS_OF)).head()
+    assert (kept.total_stock, kept.available_stock) == (2_400_000_000, 2_160_000_000)
+    assert validate.quality_report(landed, validate.gate_checks(PHARMA)).filter("NOT passed").count() == 0
+
+
+def test_an_unlisted_device_type_is_not_left_out(spark):
+    cells = spark.createDataFrame(
+        [("H1", "Monitor", 50.0), ("H1", "New", 99.0)], "hospital_id string, device_type string, utilization_pct double"
+    )
+    assert kpis.kpi_utilization_matrix(cells).columns == ["hospital_id", "Monitor", "New"]
+    assert kpis.kpi_utilization_matrix(cells, ["Monitor", "New"]).count() == 1
+    with pytest.raises(Exception, match="device type"):
+        kpis.kpi_utilization_matrix(cells, ["Monitor"]).collect()
+
+
 def test_manifest_lists_every_expected_file(spark, ctx):
     for name in ("Hospital", "Device"):
         df = text_frame(spark, name).repartition(3)

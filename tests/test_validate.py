@@ -62,7 +62,7 @@ def test_malformed_text_raises_nowhere(spark):
         billed_amount="x", approved_amount="y",
     )
     report = v.quality_report(text_frame(spark, "Hospital", rows), v.hospital_checks(HOSPITAL, AS_OF))
-    assert report.count() == 11
+    assert report.count() == 14
 
 
 def test_key_uniqueness(spark):

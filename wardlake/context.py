@@ -20,8 +20,8 @@ class RunContext:
 
     ``fact_buckets`` stores both hospital facts bucketed by ``admission_id``: one
     shuffle of each when it is written, and none when the finance mart joins them.
-    It suits ids that are unique, as the source's key promises; without it a
-    repeated id is no problem either.
+    Ids must then be unique, as the source's key promises, and the run fails where
+    they are not; without buckets a repeated id is no problem.
     """
 
     input_date: str
@@ -68,6 +68,10 @@ class RunContext:
     def stage_path(self, name: str) -> str:
         return f"{self.base_path}/silver_stage/{name}"
 
+    def reject_path(self, source: str) -> str:
+        """Rows that silver's rules drop, kept per run with the rules they break."""
+        return f"{self.base_path}/silver_reject/{source}/{self.run_id}"
+
     def gold_path(self, mart: str) -> str:
         return f"{self.base_path}/gold/Gold_Data/{mart}"
 

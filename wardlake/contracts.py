@@ -22,6 +22,9 @@ class SourceContract:
     not_null: tuple[str, ...]
     integers: tuple[str, ...]
     max_lengths: Mapping[str, int] = field(default_factory=dict)
+    integer_type: str = "int"
+    dates: tuple[str, ...] = ()
+    times: tuple[str, ...] = ()
 
     @property
     def landing_columns(self) -> list[str]:
@@ -44,6 +47,8 @@ HOSPITAL = SourceContract(
     not_null=("insurance_id", "billed_amount", "approved_amount", "patient_dob"),
     integers=("billed_amount", "approved_amount"),
     max_lengths={"patient_gender": 1},
+    dates=("patient_dob",),
+    times=("admission_time", "discharge_time"),
 )
 
 DEVICE = SourceContract(
@@ -65,11 +70,17 @@ PHARMA = SourceContract(
     not_null=("hospital_id", "medicine_id"),
     integers=("total_stock", "issued_stock"),
     max_lengths={"medicine_id": 6},
+    # Stock is BIGINT from landing to gold: sums of a large source exceed an INT.
+    integer_type="bigint",
+    dates=("expiry_date",),
 )
 
+# Where a landing scan keeps the text of a record whose fields do not match the contract.
+BAD_RECORD = "bad_record"
+
 SOURCES = {c.name: c for c in (HOSPITAL, DEVICE, PHARMA)}
 
-# Fixed rule values.
+# The ordered column lists above are the contract; so are the rule values below.
 GENDERS = ("M", "F", "O")
 APPROVED, REJECTED, PENDING = "APPROVED", "REJECTED", "PENDING"
 STOCK_CRITICAL_BELOW = 200
@@ -97,8 +108,8 @@ SILVER: dict[str, dict[str, str]] = {
     "dim_doctor": {"doctor_id": "string", "department": "string", "hospital_id": "string"},
     "dim_bed": {"bed_id": "string", "bed_type": "string", "hospital_id": "string"},
     "fact_medicine_inventory": {
-        "medicine_id": "string", "hospital_id": "string", "total_stock": "int",
-        "issued_stock": "int", "expiry_date": "date", "available_stock": "int",
+        "medicine_id": "string", "hospital_id": "string", "total_stock": "bigint",
+        "issued_stock": "bigint", "expiry_date": "date", "available_stock": "bigint",
     },
     "fact_device_usage": {
         "device_id": "string", "hospital_id": "string", "week": "string",
@@ -122,7 +133,7 @@ BUCKET_KEYS = {"fact_admission": "admission_id", "fact_billing": "admission_id"}
 GOLD: dict[str, dict[str, str]] = {
     "gold_medicine_availability": {
         "hospital_id": "string", "medicine_name": "string", "category": "string",
-        "available_stock": "int", "expiry_date": "date", "report_month": "string",
+        "available_stock": "bigint", "expiry_date": "date", "report_month": "string",
     },
     "gold_device_availability": {
         "hospital_id": "string", "device_type": "string", "total_units": "bigint",

@@ -31,6 +31,7 @@ def fail_row(ctx: RunContext, message: str) -> tuple:
 
 
 def audit_recent(audit: DataFrame) -> DataFrame:
+    """Newest day first; ``load_time`` is a DATE, so the order within a day is open."""
     return audit.orderBy(F.desc("load_time"))
 
 
@@ -41,6 +42,16 @@ def audit_by(audit: DataFrame, **equals: str) -> DataFrame:
     return audit_recent(audit)
 
 
+def raw_balance(audit: DataFrame) -> DataFrame:
+    """Per run and source with row rules: raw rows are clean rows plus rejected rows."""
+    of = {layer: F.sum(F.when(F.col("layer") == layer, F.col("record_count"))) for layer in ("raw", "silver", "reject")}
+    figures = audit.groupBy("run_id", "source").agg(
+        of["raw"].alias("raw_rows"), of["silver"].alias("clean_rows"), of["reject"].alias("rejected_rows")
+    )
+    balanced = F.col("raw_rows") == F.col("clean_rows") + F.col("rejected_rows")
+    return figures.filter("rejected_rows IS NOT NULL").withColumn("balanced", balanced)
+
+
 def audit_run_health(audit: DataFrame, min_success: int = 10) -> DataFrame:
     successes = F.count_if(F.col("status") == SUCCESS)
     return audit.groupBy("run_id").agg(
@@ -50,9 +61,15 @@ def audit_run_health(audit: DataFrame, min_success: int = 10) -> DataFrame:
 
 
 def layer_reconciliation(
-    silver: Callable[[str], DataFrame], gold: Mapping[str, DataFrame]
+    silver: Callable[[str], DataFrame], gold: Mapping[str, DataFrame], ctx: RunContext | None = None
 ) -> DataFrame:
-    """For each mart, the figure it must preserve, computed on both sides."""
+    """For each mart, the figure it must preserve, computed on both sides.
+
+    Silver holds one run; of marts with history only the period of ``ctx`` is compared with it.
+    """
+    if ctx and ctx.history:
+        this = (F.col("report_year") == ctx.report_year) & (F.col("report_month") == ctx.report_month)
+        gold = {mart: df.filter(this) for mart, df in gold.items()}
     billing, admission = silver("fact_billing"), silver("fact_admission")
     status = F.col("claim_status")
     pairs = {

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlake.contracts import GENDERS
-from wardlake.functions.scalars import as_date, as_int, as_long, as_wall_clock, landing_file
+from wardlake.functions.scalars import as_date, as_long, as_wall_clock, landing_file
 
 EXPIRED, VALID = "EXPIRED", "VALID"
 
@@ -64,16 +64,16 @@ def expiry_status(as_of: date) -> Column:
 def enrich_pharma(df: DataFrame, as_of: date) -> DataFrame:
     """Typed stock, ``available_stock`` and ``expiry_status``, before any row is dropped."""
     return df.withColumns({
-        "total_stock": as_int("total_stock"),
-        "issued_stock": as_int("issued_stock"),
+        "total_stock": as_long("total_stock"),
+        "issued_stock": as_long("issued_stock"),
         "expiry_date": as_date("expiry_date"),
-        "available_stock": as_int("total_stock") - as_int("issued_stock"),
+        "available_stock": as_long("total_stock") - as_long("issued_stock"),
         "expiry_status": expiry_status(as_of),
     })
 
 
 def pharma_rules(as_of: date) -> dict[str, Column]:
-    total, issued = as_int("total_stock"), as_int("issued_stock")
+    total, issued = as_long("total_stock"), as_long("issued_stock")
     return {
         "medicine_id": F.col("medicine_id").isNotNull(),
         "hospital_id": F.col("hospital_id").isNotNull(),

@@ -13,8 +13,8 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardlake.contracts import GENDERS, SourceContract
-from wardlake.functions.scalars import as_date, as_int, as_long, as_wall_clock
+from wardlake.contracts import BAD_RECORD, GENDERS, SourceContract
+from wardlake.functions.scalars import as_date, as_long, as_wall_clock
 
 
 class ValidationError(Exception):
@@ -39,9 +39,24 @@ def length_check(column: str, max_length: int) -> Check:
     return Check("max_length", column, F.length(column) > max_length)
 
 
-def integer_check(column: str) -> Check:
-    """Text that is there but is no INT. NULL is left to ``null_check``."""
-    return Check("castable_int", column, F.col(column).isNotNull() & as_int(column).isNull())
+def integer_check(column: str, type_: str = "int") -> Check:
+    """Text that is there but is no integer of the type. NULL is left to ``null_check``."""
+    return Check("castable_int", column, F.col(column).isNotNull() & F.col(column).try_cast(type_).isNull())
+
+
+def date_check(column: str) -> Check:
+    """Text that is there but is no date."""
+    return Check("readable_date", column, F.col(column).isNotNull() & as_date(column).isNull())
+
+
+def time_check(column: str) -> Check:
+    """Text that is there but is no time."""
+    return Check("readable_time", column, F.col(column).isNotNull() & as_wall_clock(column).isNull())
+
+
+def shape_check(column: str = BAD_RECORD) -> Check:
+    """Landing records with too few or too many fields."""
+    return Check("record_shape", column, F.col(column).isNotNull())
 
 
 def gender_check(column: str = "patient_gender", valid: Sequence[str] = GENDERS) -> Check:
@@ -70,7 +85,9 @@ def gate_checks(contract: SourceContract) -> list[Check]:
     return [
         *[null_check(c) for c in contract.not_null],
         *[length_check(c, n) for c, n in contract.max_lengths.items()],
-        *[integer_check(c) for c in contract.integers],
+        *[integer_check(c, contract.integer_type) for c in contract.integers],
+        *[date_check(c) for c in contract.dates],
+        *[time_check(c) for c in contract.times],
     ]
 
 

@@ -59,9 +59,9 @@ device AS (
 _PHARMA = """
 pharma AS (
   SELECT 'MED' || l_partkey AS medicine_id, p_name AS medicine_name, p_type AS category,
-         'H' || l_suppkey AS hospital_id, CAST(20 * q AS INTEGER) AS total_stock,
-         CAST(2 * q * (l_partkey % 12) AS INTEGER) AS issued_stock, d AS expiry_date, l_partkey AS n
-  FROM (SELECT l_partkey, l_suppkey, SUM(CAST(l_quantity AS INTEGER)) % 1000000 AS q,
+         'H' || l_suppkey AS hospital_id, CAST(20 * q AS BIGINT) AS total_stock,
+         CAST(2 * q * (l_partkey % 12) AS BIGINT) AS issued_stock, d AS expiry_date, l_partkey AS n
+  FROM (SELECT l_partkey, l_suppkey, SUM(CAST(l_quantity AS INTEGER)) AS q,
                CAST(MAX(l_shipdate) AS DATE) AS d
         FROM lineitem GROUP BY l_partkey, l_suppkey)
   JOIN part ON l_partkey = p_partkey
@@ -152,12 +152,14 @@ alerts AS (
 _HOSPITAL_DEFECTS = _HOSPITAL + """,
 defective AS (
   SELECT CASE WHEN n % 79 <> 0 THEN insurance_id END AS insurance_id,
-         CASE WHEN n % 79 <> 0 THEN patient_dob END AS patient_dob,
+         CASE WHEN n % 79 <> 0 THEN CASE WHEN n % 71 = 0 THEN '31/12/1980'
+                                         ELSE CAST(patient_dob AS VARCHAR) END END AS patient_dob,
          CASE WHEN n % 73 = 0 THEN 'Male' ELSE patient_gender END AS patient_gender,
          CASE WHEN n % 89 = 0 THEN 'bad' ELSE CAST(billed_amount AS VARCHAR) END AS billed_amount,
          CASE WHEN n % 83 = 0 THEN '12.5' ELSE CAST(approved_amount AS VARCHAR)
          END AS approved_amount,
-         admission_time, discharge_time
+         CASE WHEN n % 71 = 0 THEN '31/12/1980' ELSE CAST(admission_time AS VARCHAR) END AS admission_time,
+         CASE WHEN n % 71 = 0 THEN '31/12/1980' ELSE CAST(discharge_time AS VARCHAR) END AS discharge_time
   FROM hospital
 )"""
 
@@ -175,7 +177,8 @@ defective AS (
   SELECT CASE WHEN n % 79 <> 0 THEN hospital_id END AS hospital_id,
          CASE WHEN n % 79 <> 0 THEN medicine_id END AS medicine_id,
          CASE WHEN n % 89 = 0 THEN 'bad' ELSE CAST(total_stock AS VARCHAR) END AS total_stock,
-         CASE WHEN n % 83 = 0 THEN '12.5' ELSE CAST(issued_stock AS VARCHAR) END AS issued_stock
+         CASE WHEN n % 83 = 0 THEN '12.5' ELSE CAST(issued_stock AS VARCHAR) END AS issued_stock,
+         CASE WHEN n % 71 = 0 THEN '31/12/1980' ELSE CAST(expiry_date AS VARCHAR) END AS expiry_date
   FROM pharma
 )"""
 
@@ -197,6 +200,10 @@ _INTEGERS = {
 }
 
 
+_DATES = {"Hospital": ("patient_dob",), "Device": (), "Pharma": ("expiry_date",)}
+_TIMES = {"Hospital": ("admission_time", "discharge_time"), "Device": (), "Pharma": ()}
+
+
 def _not_an_int(column: str) -> str:
     return f"NOT regexp_full_match({column}, '-?[0-9]+')"
 
@@ -211,6 +218,8 @@ def _gate(source: str) -> list[tuple[str, str, str]]:
         *[("not_null", c, f"{c} IS NULL") for c in _NULLS[source]],
         ("max_length", column, f"length({column}) > {limit}"),
         *[("castable_int", c, _not_an_int(c)) for c in _INTEGERS[source]],
+        *[("readable_date", c, f"{c} IS NOT NULL AND TRY_CAST({c} AS DATE) IS NULL") for c in _DATES[source]],
+        *[("readable_time", c, f"{c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL") for c in _TIMES[source]],
     ]
 
 
@@ -219,6 +228,12 @@ _ROW_RULES = [
     ("dob", "patient_dob", "patient_dob > DATE '1998-07-01'"),
     ("admission_before_discharge", "admission_time", "admission_time > discharge_time"),
 ]
+_TEXT_RULES = [
+    _ROW_RULES[0],
+    ("dob", "patient_dob", "TRY_CAST(patient_dob AS DATE) > DATE '1998-07-01'"),
+    ("admission_before_discharge", "admission_time",
+     "TRY_CAST(admission_time AS TIMESTAMP) > TRY_CAST(discharge_time AS TIMESTAMP)"),
+]
 _BILLED_TEXT = ("at_least", "billed_amount", f"{_number('billed_amount')} < {_number('approved_amount')}")
 _BILLED = ("at_least", "billed_amount", "billed_amount < approved_amount")
 
@@ -320,6 +335,9 @@ _SILVER_COUNTS = """
   SELECT 'Hospital' AS source, COUNT(*) AS record_count FROM clean
   UNION ALL SELECT 'Device', COUNT(*) FROM device
   UNION ALL SELECT 'Pharma', COUNT(*) FROM valid"""
+_REJECT_COUNTS = """
+  SELECT 'Hospital' AS source, (SELECT COUNT(*) FROM hospital) - (SELECT COUNT(*) FROM clean) AS record_count
+  UNION ALL SELECT 'Pharma', (SELECT COUNT(*) FROM pharma) - (SELECT COUNT(*) FROM valid)"""
 _GOLD_COUNTS = """
   SELECT 'gold_medicine_availability' AS source, COUNT(*) AS record_count FROM stocked
   UNION ALL SELECT 'gold_device_availability', COUNT(*) FROM gold_device_availability
@@ -349,6 +367,7 @@ def _audit(layers: dict[str, tuple[str, str]]) -> str:
 _LAYERS = {
     "raw": ("raw_nb", _RAW_COUNTS),
     "silver": ("silver_nb", _SILVER_COUNTS),
+    "reject": ("silver_nb", _REJECT_COUNTS),
     "gold": ("gold_nb", _GOLD_COUNTS),
 }
 _AUDIT_LOG = f"""
@@ -382,11 +401,29 @@ ORACLES: dict[str, str] = {
              CASE source WHEN 'Hospital' THEN 17 WHEN 'Device' THEN 7 ELSE 8 END AS found_columns,
              TRUE AS passed, record_count AS rows_checked
       FROM ({_RAW_COUNTS})""",
+    "header_contract_cases": f"""
+      WITH {_PHARMA}, landed AS (SELECT unnest(['good', 'swapped', 'renamed', 'extra']) AS "case")
+      SELECT "case", "case" = 'good' AS passed, (SELECT COUNT(*) FROM pharma) AS rows FROM landed""",
+    "history_claim_views": f"""
+      WITH {_CLAIMS}, months AS (SELECT unnest(['January', 'February']) AS report_month),
+      totals AS (
+        SELECT * EXCLUDE (report_month), CAST(SUM(claim_count) OVER (PARTITION BY insurance_name) AS BIGINT)
+                    AS total_claims_per_insurer
+        FROM gold_claim_status_summary),
+      ranked AS (
+        SELECT insurance_name, COUNT(*) AS rejected_claim_count,
+               CAST(RANK() OVER (ORDER BY COUNT(*) DESC) AS INTEGER) AS rejection_rank
+        FROM claims WHERE claim_status = 'REJECTED' GROUP BY insurance_name)
+      SELECT totals.*, CAST((2000 * claim_count + total_claims_per_insurer)
+                            // (2 * total_claims_per_insurer) AS DOUBLE) / CAST(10 AS DOUBLE) AS claim_status_pct,
+             report_month, CAST(2026 AS INTEGER) AS report_year, rejected_claim_count, rejection_rank
+      FROM totals LEFT JOIN ranked USING (insurance_name) CROSS JOIN months""",
     "silver_replace_idempotent": f"WITH {_CLEAN} {_BILLING}",
     "gold_round_trip": f"WITH {_CLAIMS} SELECT * FROM gold_claim_status_summary",
     "external_gold_scan": f"WITH {_FINANCE} SELECT * FROM gold_finance_weekly",
     "gold_row_counts": f"""
-      WITH {_ALL} SELECT source AS table_name, record_count AS row_count FROM ({_GOLD_COUNTS})""",
+      WITH {_ALL} SELECT source AS table_name, record_count AS row_count FROM ({_GOLD_COUNTS})
+      UNION ALL SELECT lower(source) || '_events', record_count FROM ({_RAW_COUNTS})""",
     "preview_top5": f"""
       WITH {_FINANCE} SELECT * FROM ({_FINANCE_SUMMARY})
       ORDER BY week_start_date, insurance_id, insurance_name LIMIT 5""",
@@ -405,7 +442,7 @@ ORACLES: dict[str, str] = {
     "billed_lt_approved_violations": _report(_HOSPITAL, "hospital", [_BILLED]),
     "duplicate_keys": f"WITH {_CLEAN}, {_DEVICE}, {_VALID} {_DUPLICATES}",
     "quality_report_hospital": _report(
-        _HOSPITAL_DEFECTS, "defective", [*_gate("Hospital"), *_ROW_RULES, _BILLED_TEXT]
+        _HOSPITAL_DEFECTS, "defective", [*_gate("Hospital"), *_TEXT_RULES, _BILLED_TEXT]
     ),
     "quality_report_device": _report(_DEVICE_DEFECTS, "defective", _gate("Device")),
     "quality_report_pharma": _report(_PHARMA_DEFECTS, "defective", _gate("Pharma")),
@@ -554,12 +591,9 @@ ORACLES: dict[str, str] = {
              CAST((2000 * claim_count + n) // (2 * n) AS DOUBLE) / CAST(10 AS DOUBLE) AS claim_pct
       FROM counts""",
     "kpi_utilization_matrix": f"""
-      WITH {_DEVICES} SELECT hospital_id, """
-    + ", ".join(
-        f"MAX(utilization_pct) FILTER (WHERE device_type = '{t}') AS {t}"
-        for t in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-    )
-    + " FROM gold_device_availability GROUP BY hospital_id",
+      WITH {_DEVICES}
+      SELECT * FROM (PIVOT (SELECT hospital_id, device_type, utilization_pct FROM gold_device_availability)
+                     ON device_type USING MAX(utilization_pct) GROUP BY hospital_id)""",
     "kpi_utilization_bands": f"""
       WITH {_DEVICES}
       SELECT hospital_id, device_type, utilization_pct,
@@ -590,6 +624,11 @@ ORACLES: dict[str, str] = {
       SELECT run_id, COUNT(*) FILTER (WHERE status = 'Success') AS success_rows,
              COUNT(*) FILTER (WHERE status = 'Success') >= 10 AS healthy
       FROM ({_AUDIT_LOG}) GROUP BY run_id""",
+    "raw_balance": f"""
+      WITH {_ALL}, r AS ({_RAW_COUNTS}), s AS ({_SILVER_COUNTS})
+      SELECT 'bound-run' AS run_id, source, r.record_count AS raw_rows, s.record_count AS clean_rows,
+             r.record_count - s.record_count AS rejected_rows, TRUE AS balanced
+      FROM r JOIN s USING (source) WHERE source <> 'Device'""",
     "layer_reconciliation": f"""
       WITH {_ALL}, figures AS (
         SELECT 'gold_medicine_availability' AS mart, (SELECT COUNT(*) FROM valid) AS s,

@@ -15,9 +15,25 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wardlake.context import RunContext
-from wardlake.contracts import DEVICE, GOLD, HOSPITAL, PHARMA, SILVER, SourceContract
+from wardlake.contracts import (
+    BAD_RECORD,
+    BUCKET_KEYS,
+    DEVICE,
+    GOLD,
+    HOSPITAL,
+    PHARMA,
+    SILVER,
+    SourceContract,
+)
 from wardlake.operators import audit, cleanse, star
-from wardlake.operators.validate import enforce, gate_checks, violation_counts
+from wardlake.operators.validate import (
+    ValidationError,
+    duplicate_keys,
+    enforce,
+    gate_checks,
+    shape_check,
+    violation_counts,
+)
 from wardlake.plans import marts
 from wardlake.plans.views import VIEWS
 from wardlake.sources import tables
@@ -47,12 +63,12 @@ def raw_to_bronze(spark: SparkSession, ctx: RunContext, source: SourceContract)
     The rows go to this run's own directory. If the gate fails, the error stops the
     run before anything reads it.
     """
-    landed = cleanse.add_provenance(read_landing_csv(spark, ctx.landing_path(source), source))
-    checks = gate_checks(source)
+    scan = read_landing_csv(spark, ctx.landing_path(source), source, bad_records=True)
+    checks = [*gate_checks(source), shape_check()]
     seen = Observation(f"raw_{source.name}_{ctx.run_id}")
+    observed = scan.observe(seen, F.count(F.lit(1)).alias("rows"), *violation_counts(checks))
     tables.write_parquet(
-        landed.observe(seen, F.count(F.lit(1)).alias("rows"), *violation_counts(checks)),
-        ctx.bronze_path(source),
+        cleanse.add_provenance(observed.drop(BAD_RECORD)), ctx.bronze_path(source)
     )
     enforce(source.name, checks, seen.get)
     return seen.get["rows"]
@@ -89,6 +105,8 @@ def run_silver(spark: SparkSession, ctx: RunContext) -> None:
 
     def refresh(table: str) -> int:
         build, source = star.TABLES[table]
+        if ctx.fact_buckets and table in BUCKET_KEYS:
+            require_unique(build(clean[source]), BUCKET_KEYS[table], table)
         return _write_counted(
             tables.silver_layout(build(clean[source]), table, ctx),
             lambda out: tables.replace_table(out, ctx.silver_table(table), SILVER[table]),
@@ -98,6 +116,31 @@ def run_silver(spark: SparkSession, ctx: RunContext) -> None:
     rows = _concurrently(SILVER, refresh)
     _audit(spark, ctx, "silver_nb", "silver", {s: rows[t] for s, t in COUNTED.items()})
 
+    rules = {"Hospital": cleanse.hospital_rules(ctx.as_of), "Pharma": cleanse.pharma_rules(ctx.as_of)}
+
+    def reject(name: str) -> int:
+        return _write_counted(
+            cleanse.rejected_rows(bronze[name], rules[name]),
+            lambda out: tables.write_parquet(out, ctx.reject_path(name)),
+            f"rejected_{name}_{ctx.run_id}",
+        )
+
+    _audit(spark, ctx, "silver_nb", "reject", _concurrently(rules, reject))
+
+
+def require_unique(df: DataFrame, key: str, table: str) -> None:
+    """A bucket takes all rows of an id, so an id may only occur once."""
+    if duplicate_keys(df, [key]).head(1):
+        raise ValidationError(f"{table}: {key} is not unique, so it cannot be bucketed by it")
+
+
+def drop_run(spark: SparkSession, ctx: RunContext) -> None:
+    """Remove a run's databases and everything below its folder."""
+    for database in (ctx.database, ctx.gold_database, ctx.audit_database):
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    path = spark._jvm.org.apache.hadoop.fs.Path(ctx.base_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def run_gold(spark: SparkSession, ctx: RunContext) -> None:
     def refresh(mart: str) -> int:

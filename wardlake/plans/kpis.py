@@ -1,4 +1,8 @@
-"""Dashboard measures over silver tables, marts and views."""
+"""Dashboard measures over silver tables, marts and views.
+
+Measures over marts with history have a row per period, told apart by its columns; over the
+marts of one period they have none of those.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from wardlake.contracts import UTILIZATION_HIGH, UTILIZATION_OVERLOADED
 from wardlake.functions.scalars import percentage
 from wardlake.operators.cleanse import EXPIRED, VALID, enrich_pharma
+from wardlake.plans.views import period_of
 
 # Hospital overview
 
@@ -31,6 +36,10 @@ def kpi_admissions_by_department(clean_hospital: DataFrame) -> DataFrame:
 # Finance and claims
 
 
+def _history(df: DataFrame) -> list[str]:
+    return period_of(df) if "report_year" in df.columns else []
+
+
 def _money_total(name: str) -> Column:
     """Marts hold whole amounts as DOUBLE; summing them as BIGINT keeps the total exact."""
     return F.sum(F.col(name).cast("bigint")).cast("double")
@@ -45,7 +54,7 @@ def kpi_finance_totals(finance_weekly: DataFrame) -> DataFrame:
     mean = F.try_divide(
         F.sum(hundredths).cast("double"), F.count("approval_percentage").cast("double")
     )
-    return finance_weekly.agg(
+    return finance_weekly.groupBy(*_history(finance_weekly)).agg(
         _money_total("total_billed_amount").alias("total_billed"),
         _money_total("total_approved_amount").alias("total_approved"),
         _money_total("revenue_leakage_amount").alias("total_revenue_leakage"),
@@ -54,17 +63,19 @@ def kpi_finance_totals(finance_weekly: DataFrame) -> DataFrame:
 
 
 def kpi_leakage_by_insurer(finance_weekly: DataFrame) -> DataFrame:
-    return finance_weekly.groupBy("insurance_name").agg(
+    return finance_weekly.groupBy("insurance_name", *_history(finance_weekly)).agg(
         _money_total("revenue_leakage_amount").alias("revenue_leakage")
     )
 
 
 def kpi_claim_distribution(claim_status_summary: DataFrame) -> DataFrame:
-    """Share of every claim status; the window sees one row per status."""
-    per_status = claim_status_summary.groupBy("claim_status").agg(
+    """Share of every claim status; the window sees one row per status and period."""
+    period = _history(claim_status_summary)
+    per_status = claim_status_summary.groupBy("claim_status", *period).agg(
         F.sum("claim_count").alias("claim_count")
     )
-    return per_status.withColumn("all_claims", F.sum("claim_count").over(Window.partitionBy())).select(
+    return per_status.withColumn("all_claims", F.sum("claim_count").over(Window.partitionBy(*period))).select(
+        *period,
         "claim_status",
         "claim_count",
         percentage(F.col("claim_count"), F.col("all_claims"), 1).alias("claim_pct"),
@@ -85,12 +96,19 @@ def utilization_band(pct: Column) -> Column:
 def kpi_utilization_matrix(
     device_availability: DataFrame, device_types: Sequence[str] | None = None
 ) -> DataFrame:
-    """Hospital by device type. Naming the types fixes the columns and saves a job."""
-    cells = device_availability.groupBy("hospital_id")
+    """Hospital by device type, a column for every type there is.
+
+    Naming the types fixes the columns and saves a job; a type that is not named then fails the
+    query instead of being left out.
+    """
+    kind, message = F.col("device_type"), F.lit("a device type is not in the list of the matrix")
+    cells = device_availability
+    if device_types:
+        listed = F.when(kind.isin(*device_types), kind).otherwise(F.raise_error(message).cast("string"))
+        cells = cells.withColumn("device_type", listed)
+    groups = cells.groupBy("hospital_id", *_history(device_availability))
     pivoted = (
-        cells.pivot("device_type", list(device_types))
-        if device_types
-        else cells.pivot("device_type")
+        groups.pivot("device_type", list(device_types)) if device_types else groups.pivot("device_type")
     )
     return pivoted.agg(F.first("utilization_pct"))
 
@@ -105,7 +123,7 @@ def kpi_utilization_bands(device_availability: DataFrame) -> DataFrame:
 
 
 def kpi_units_by_device_type(device_availability: DataFrame) -> DataFrame:
-    return device_availability.groupBy("device_type").agg(
+    return device_availability.groupBy("device_type", *_history(device_availability)).agg(
         F.sum("available_units").alias("available_units"),
         F.sum("in_use_units").alias("in_use_units"),
     )

@@ -14,6 +14,11 @@ from wardlake.contracts import (
 from wardlake.functions.scalars import month_name, percentage, week_number
 
 
+def period_of(df: DataFrame) -> list[str]:
+    """The columns that tell report periods apart: marts with history also have the year."""
+    return [c for c in ("report_year", "report_month") if c in df.columns]
+
+
 def vw_medicine_stock_alert(medicine_availability: DataFrame) -> DataFrame:
     """A missing stock figure counts as ADEQUATE."""
     stock = F.col("available_stock")
@@ -51,7 +56,7 @@ def vw_finance_summary(finance_weekly: DataFrame) -> DataFrame:
         F.round("total_approved_amount", 0).alias("total_approved"),
         F.round("revenue_leakage_amount", 0).alias("revenue_leakage"),
         "approval_percentage",
-        "report_month",
+        *period_of(finance_weekly),
     )
 
 
@@ -63,34 +68,39 @@ def vw_weekly_admissions(weekly_admissions: DataFrame) -> DataFrame:
         month_name(week).alias("month_name"),
         F.year(week).alias("year_number"),
         "total_admissions",
-        "report_month",
+        *period_of(weekly_admissions),
     )
 
 
 def vw_claim_status_breakdown(claim_status_summary: DataFrame) -> DataFrame:
-    """A window partition holds one row per claim status of one insurer."""
-    total = F.sum("claim_count").over(Window.partitionBy("insurance_name"))
+    """A window partition holds one row per claim status of one insurer and period."""
+    group = Window.partitionBy("insurance_name", *period_of(claim_status_summary))
+    total = F.sum("claim_count").over(group)
     return claim_status_summary.withColumn("total_claims_per_insurer", total).withColumn(
         "claim_status_pct", percentage(F.col("claim_count"), F.col("total_claims_per_insurer"), 1)
     )
 
 
 def vw_rejected_claims_ranking(rejected_claims: DataFrame) -> DataFrame:
-    """RANK by descending count: ties share a rank, a gap follows.
+    """RANK by descending count within a period: ties share a rank, a gap follows.
 
-    Only the distinct counts pass through the unpartitioned window. N rejected
-    claims allow at most sqrt(2N) distinct counts, however many insurers there are.
+    Only the distinct counts pass through a period's window. N rejected claims
+    allow at most sqrt(2N) distinct counts, however many insurers there are.
     """
-    counts = rejected_claims.groupBy("rejected_claim_count").agg(F.count("*").alias("insurers"))
-    ahead = Window.orderBy(F.desc("rejected_claim_count")).rowsBetween(
+    period = period_of(rejected_claims)
+    counts = rejected_claims.groupBy(*period, "rejected_claim_count").agg(
+        F.count("*").alias("insurers")
+    )
+    ahead = Window.partitionBy(*period).orderBy(F.desc("rejected_claim_count")).rowsBetween(
         Window.unboundedPreceding, -1
     )
     ranks = counts.select(
+        *period,
         "rejected_claim_count",
         (F.coalesce(F.sum("insurers").over(ahead), F.lit(0)) + 1).cast("int").alias("rejection_rank"),
     )
-    return rejected_claims.join(ranks, "rejected_claim_count").select(
-        "insurance_name", "rejected_claim_count", "report_month", "rejection_rank"
+    return rejected_claims.join(ranks, [*period, "rejected_claim_count"]).select(
+        "insurance_name", "rejected_claim_count", *period, "rejection_rank"
     )
 
 

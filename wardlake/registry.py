@@ -77,14 +77,22 @@ class Bound:
         function, mart = views.VIEWS[name]
         return function(self.gold(mart))
 
+    def stored(self, mart: str) -> DataFrame:
+        """A mart as a written table, for plans that read it more than once."""
+        ctx = self.context()
+        tables.write_gold(self.gold(mart), mart, ctx)
+        return self.spark.read.schema(tables.ddl(GOLD[mart])).parquet(ctx.gold_path(mart))
+
     def context(self) -> RunContext:
         base = shared_folder(self.spark)
         unique = base.rsplit("/", 1)[-1]
-        return RunContext(
+        ctx = RunContext(
             input_date=INPUT_DATE, base_path=base, as_of=AS_OF, run_date=RUN_DATE, run_id=RUN_ID,
             database=f"silver_{unique}", gold_database=f"gold_{unique}",
             audit_database=f"audit_{unique}",
         )
+        OPEN_RUNS.append(ctx)
+        return ctx
 
     def land(self, ctx: RunContext, *sources: SourceContract) -> None:
         jobs.land_extracts(ctx, {s.name: self.source(s) for s in sources}, sources)
@@ -107,6 +115,15 @@ class Bound:
 
 QUERIES: dict[str, Query] = {}
 
+# Runs of registered queries whose tables a caller may still be reading.
+OPEN_RUNS: list[RunContext] = []
+
+
+def close_runs(spark: SparkSession) -> None:
+    """Remove the databases and folders of all runs so far; their DataFrames end with them."""
+    while OPEN_RUNS:
+        jobs.drop_run(spark, OPEN_RUNS.pop())
+
 
 def query(function: Callable[[Bound], DataFrame]) -> Callable[[Bound], DataFrame]:
     QUERIES[function.__name__] = lambda spark, sf_dir: function(Bound(spark, sf_dir))
@@ -151,25 +168,67 @@ def landing_manifest(b: Bound) -> DataFrame:
 
 @query
 def column_contract_report(b: Bound) -> DataFrame:
-    """Contract outcome per source, with the rows whose files' headers were checked."""
+    """Contract outcome per source over the headers of all its files, and the rows behind them."""
     ctx = b.context()
     b.land(ctx, *BOUND_SOURCES)
     reports = []
     for source in BOUND_SOURCES:
         path = ctx.landing_path(source)
-        header = landing.landing_header(b.spark, path)
-        reports.append(
-            landing.read_landing_csv(b.spark, path, source).agg(
-                F.lit(source.name).alias("source"),
-                F.lit(len(source.landing_columns)).alias("expected_columns"),
-                F.lit(len(header)).alias("found_columns"),
-                F.lit(header == source.landing_columns).alias("passed"),
-                F.count("*").alias("rows_checked"),
-            )
+        headers = landing.header_report(b.spark, path, source).agg(
+            F.lit(source.name).alias("source"),
+            F.lit(len(source.landing_columns)).alias("expected_columns"),
+            (F.max(F.size(F.split("header", ","))) + 1).alias("found_columns"),
+            F.bool_and("passed").alias("passed"),
+        )
+        rows = landing.read_landing_csv(b.spark, path, source).agg(
+            F.lit(source.name).alias("source"), F.count("*").alias("rows_checked")
+        )
+        reports.append(headers.join(rows, "source"))
+    return _union(reports)
+
+
+@query
+def header_contract_cases(b: Bound) -> DataFrame:
+    """A landing with good files, and three whose second half has a wrong header, per case."""
+    ctx = b.context()
+    good = bindings.as_text(b.source(PHARMA), PHARMA)
+    first = list(PHARMA.columns)
+    cases = {
+        "good": good,
+        "swapped": good.select(first[1], first[0], *first[2:]),
+        "renamed": good.withColumnRenamed("expiry_date", "expires"),
+        "extra": good.withColumn("extra", F.lit("x")),
+    }
+    even = F.crc32("medicine_id") % 2 == 0
+    reports = []
+    for case, other in cases.items():
+        folder = f"{ctx.landing_folder}/{case}"
+        landing.write_landing_csv(good.filter(even), f"{folder}/a.csv")
+        landing.write_landing_csv(other.filter(~even), f"{folder}/b.csv")
+        lines = b.spark.read.text([f"{folder}/a.csv", f"{folder}/b.csv"]).agg(F.count("*").alias("lines"))
+        report = landing.header_report(b.spark, f"{folder}/*.csv", PHARMA).agg(
+            F.lit(case).alias("case"), F.bool_and("passed").alias("passed"), F.count("*").alias("files")
         )
+        # Every line but one header per file is a row.
+        reports.append(report.crossJoin(lines).select("case", "passed", (F.col("lines") - F.col("files")).alias("rows")))
     return _union(reports)
 
 
+@query
+def history_claim_views(b: Bound) -> DataFrame:
+    """Two stored months; the claim views over both give each month its own figures."""
+    ctx = replace(b.context(), history=True)
+    status, rejected = "gold_claim_status_summary", "gold_rejected_claims"
+    for run in (ctx, replace(ctx, input_date="20260301")):
+        for mart in (status, rejected):
+            tables.write_gold(marts.build_mart(mart, b.silver, run.report_month), mart, run)
+    stored = {mart: b.spark.read.parquet(ctx.gold_path(mart)) for mart in (status, rejected)}
+    ranks = views.vw_rejected_claims_ranking(stored[rejected])
+    return views.vw_claim_status_breakdown(stored[status]).join(
+        ranks, ["insurance_name", "report_year", "report_month"], "left"
+    )
+
+
 @query
 def provenance_columns(b: Bound) -> DataFrame:
     ctx = b.context()
@@ -229,7 +288,11 @@ def external_gold_scan(b: Bound) -> DataFrame:
 
 @query
 def gold_row_counts(b: Bound) -> DataFrame:
-    return tables.row_counts({mart: b.gold(mart) for mart in GOLD})
+    """Rows of the seven external tables of a run, and of the three sources."""
+    ctx = b.run()
+    counted = dict(tables.external_gold_tables(b.spark, ctx))
+    counted |= {f"{s.name.lower()}_events": tables.read_bronze(b.spark, ctx.bronze_path(s)) for s in BOUND_SOURCES}
+    return tables.row_counts(counted)
 
 
 @query
@@ -302,9 +365,13 @@ DIMENSION_KEYS = {
 
 @query
 def duplicate_keys(b: Bound) -> DataFrame:
+    """Over the written tables of a run, so that no source is read again for each of them."""
+    ctx = b.run(2)
+    landed = [(s, tables.read_bronze(b.spark, ctx.bronze_path(s))) for s in BOUND_SOURCES]
+    dimensions = {t: tables.read_silver(b.spark, ctx, t) for t in DIMENSION_KEYS}
     return _union(
-        [validate.key_uniqueness(b.source(s), s.name, s.key) for s in SOURCES.values()]
-        + [validate.key_uniqueness(b.silver(t), t, keys) for t, keys in DIMENSION_KEYS.items()]
+        [validate.key_uniqueness(df, s.name, s.key) for s, df in landed]
+        + [validate.key_uniqueness(dimensions[t], t, keys) for t, keys in DIMENSION_KEYS.items()]
     )
 
 
@@ -386,6 +453,14 @@ for _mart in GOLD:
 for _view in views.VIEWS:
     _register(_view, lambda b, v=_view: b.view(v))
 
+
+@query
+def vw_rejected_claims_ranking(b: Bound) -> DataFrame:
+    """The ranking reads its mart twice, so it reads the written one."""
+    return views.vw_rejected_claims_ranking(b.stored("gold_rejected_claims"))
+
+
+
 _register(
     "category_distribution",
     lambda b: marts.category_distribution(
@@ -404,9 +479,7 @@ _register(
 )
 _register(
     "kpi_utilization_matrix",
-    lambda b: kpis.kpi_utilization_matrix(
-        b.gold("gold_device_availability"), bindings.DEVICE_TYPES
-    ),
+    lambda b: kpis.kpi_utilization_matrix(b.stored("gold_device_availability")),
 )
 _register(
     "kpi_utilization_bands", lambda b: kpis.kpi_utilization_bands(b.gold("gold_device_availability"))
@@ -455,4 +528,8 @@ def layer_reconciliation(b: Bound) -> DataFrame:
     return audit.layer_reconciliation(
         lambda table: tables.read_silver(b.spark, ctx, table),
         tables.external_gold_tables(b.spark, ctx),
+        ctx,
     )
+
+
+_register("raw_balance", lambda b: audit.raw_balance(b.audit_table(b.run(2))))

@@ -13,10 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardlake.contracts import APPROVED, PENDING, REJECTED, SourceContract
 
-# Device types of the bound data, in natural order.
-DEVICE_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -85,8 +81,7 @@ def device_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pharma_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, part = (_table(spark, sf_dir, t) for t in ("lineitem", "part"))
-    # Stock is INT by contract; the remainder keeps the sum of a hot pair inside it.
-    quantity = F.col("quantity") % 1_000_000
+    quantity = F.col("quantity")  # BIGINT, as stock is: the sum of a hot pair is kept whole
     return (
         lineitem.groupBy("l_partkey", "l_suppkey")
         .agg(
@@ -99,8 +94,8 @@ def pharma_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("p_name").alias("medicine_name"),
             F.col("p_type").alias("category"),
             _prefixed("H", "l_suppkey").alias("hospital_id"),
-            (quantity * 20).cast("int").alias("total_stock"),
-            (quantity * 2 * (F.col("l_partkey") % 12)).cast("int").alias("issued_stock"),
+            (quantity * 20).alias("total_stock"),
+            (quantity * 2 * (F.col("l_partkey") % 12)).alias("issued_stock"),
             F.col("last_ship").alias("expiry_date"),
         )
     )
@@ -115,7 +110,7 @@ def as_text(df: DataFrame, source: SourceContract) -> DataFrame:
 
 
 def with_defects(df: DataFrame, source: SourceContract) -> DataFrame:
-    """Landing text with gate violations: every 89th and 83rd id loses a value or gets a bad one."""
+    """Landing text with gate violations: every 89th, 83rd, 79th, 73rd or 71st id has a bad value or none."""
     text = as_text(df, source)
     id_column = {"Hospital": "event_id", "Device": "device_id", "Pharma": "medicine_id"}[source.name]
     number = F.regexp_extract(id_column, r"(\d+)$", 1).cast("bigint")
@@ -123,12 +118,18 @@ def with_defects(df: DataFrame, source: SourceContract) -> DataFrame:
     fraction = {
         c: F.when(number % 83 == 0, F.lit("12.5")).otherwise(F.col(c)) for c in source.integers[1:]
     }
+    # Where a date column must not be NULL, some values are missing and some unreadable.
+    unreadable = {
+        c: F.when(number % 71 == 0, F.lit("31/12/1980")).otherwise(F.col(c))
+        for c in (*source.dates, *source.times)
+    }
     missing = {
-        c: F.when(number % 79 != 0, F.col(c)) for c in source.not_null if c not in source.integers
+        c: F.when(number % 79 != 0, unreadable.get(c, F.col(c)))
+        for c in source.not_null if c not in source.integers
     }
     wordy = (
         {"patient_gender": F.when(number % 73 == 0, F.lit("Male")).otherwise(F.col("patient_gender"))}
         if "patient_gender" in source.columns
         else {}
     )
-    return text.withColumns({**bad, **fraction, **missing, **wordy})
+    return text.withColumns({**bad, **fraction, **unreadable, **missing, **wordy})

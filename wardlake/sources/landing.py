@@ -3,49 +3,83 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlake.contracts import SourceContract
+from wardlake.contracts import BAD_RECORD, SourceContract
 from wardlake.functions.scalars import landing_file
 from wardlake.operators.validate import check_columns
 
-CSV_OPTIONS = {"header": True, "sep": ",", "quote": '"', "escape": "\\"}
+# Blanks are data: neither side trims them. An empty string and NULL are one, both read as NULL.
+CSV_OPTIONS = {
+    "header": True, "sep": ",", "quote": '"', "escape": "\\",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 def write_landing_csv(df: DataFrame, path: str) -> None:
-    """Every column as text; a directory of part files, one per task, each with a header."""
-    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    """Every column as text; a directory of part files, one per task, each with a header.
+
+    A record is a line, so that large files can be split: a value with a line break fails the write.
+    """
+    message = F.lit("a landing value holds a line break")
+    text = df.select(*[
+        F.when(F.col(c).cast("string").rlike("[\\r\\n]"), F.raise_error(message).cast("string"))
+        .otherwise(F.col(c).cast("string")).alias(c)
+        for c in df.columns
+    ])
     text.write.options(**CSV_OPTIONS).mode("overwrite").csv(path)
 
 
+def landing_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, header)``: the first line of every landing file, read as text by the executors."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+    )
+    return lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+
+
+def header_report(spark: SparkSession, path: str, contract: SourceContract) -> DataFrame:
+    """``(file, header, passed)`` for every landing file, whatever columns anyone reads."""
+    expected = ",".join(contract.columns)
+    return landing_headers(spark, path).withColumn("passed", F.col("header") == expected)
+
+
 def landing_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of the first file, ``file_path`` appended as in the contract."""
     return [*spark.read.options(**CSV_OPTIONS).csv(path).columns, "file_path"]
 
 
-def read_landing_csv(spark: SparkSession, path: str, contract: SourceContract) -> DataFrame:
+def read_landing_csv(
+    spark: SparkSession, path: str, contract: SourceContract, bad_records: bool = False
+) -> DataFrame:
     """All columns as text, plus ``file_path``, the landing file the caller names.
 
-    As a literal it folds to a constant, and so does everything derived from it. The first file's header is compared on the driver, before any row is read;
-    with ``enforceSchema`` off the tasks compare the header of every other file.
+    As a literal it folds to a constant, and so does everything derived from it. The first file's
+    header is compared on the driver, before any row is read; with ``enforceSchema`` off the tasks
+    compare the header of every other file, and with ``columnPruning`` off they do so for all
+    columns, also under a count. ``bad_records`` adds the text of records with too few or too many
+    fields as ``bad_record``.
     """
     check_columns(landing_header(spark, path), contract.landing_columns)
-    return (
-        spark.read.options(**CSV_OPTIONS)
-        .option("enforceSchema", False)
-        .schema(contract.text_schema)
-        .csv(path)
-        .withColumn("file_path", F.lit(path))
-    )
+    scan = spark.read.options(**CSV_OPTIONS).option("enforceSchema", False).option("columnPruning", False)
+    schema = contract.text_schema
+    if bad_records:
+        scan = scan.option("columnNameOfCorruptRecord", BAD_RECORD)
+        schema += f", {BAD_RECORD} STRING"
+    return scan.schema(schema).csv(path).withColumn("file_path", F.lit(path))
 
 
 def landing_manifest(spark: SparkSession, folder: str, expected: Sequence[str]) -> DataFrame:
     """``(file_name, row_count, present)`` for every expected landing file, found or not.
 
-    The folder is scanned once. Rows are counted per physical file first, so the name
-    is taken out of a path once per file and not once per row.
+    Presence comes from listing the folder, so a file with nothing but a header is present. Rows
+    are counted per physical file first, so the name is taken out of a path once per file.
     """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    found = listed.select(landing_file(F.col("path"), 1).alias("file_name")).distinct()
     per_part = (
         spark.read.options(**CSV_OPTIONS)
         .option("recursiveFileLookup", True)
@@ -54,23 +88,20 @@ def landing_manifest(spark: SparkSession, folder: str, expected: Sequence[str])
         .groupBy(F.col("_metadata.file_path").alias("path"))
         .agg(F.count("*").alias("part_rows"))
     )
-    found = per_part.select(
-        landing_file(F.col("path"), 1).alias("file_name"),
-        "part_rows",
-        F.lit(False).alias("expected"),
-    )
+    kinds = [
+        spark.createDataFrame([(name,) for name in expected], "file_name string").select(
+            "file_name", F.lit(0).cast("bigint").alias("part_rows"), F.lit(True).alias("expected"), F.lit(False).alias("present")
+        ),
+        found.select("file_name", F.lit(0).cast("bigint").alias("part_rows"), F.lit(False).alias("expected"), F.lit(True).alias("present")),
+        per_part.select(
+            landing_file(F.col("path"), 1).alias("file_name"), "part_rows", F.lit(False).alias("expected"), F.lit(True).alias("present")
+        ),
+    ]
     # A union, not a join: the key of a join would be tested for NULL on every row.
-    wanted = spark.createDataFrame(
-        [(name, 0, True) for name in expected], "file_name string, part_rows bigint, expected boolean"
-    )
     return (
-        wanted.unionByName(found)
+        reduce(DataFrame.unionByName, kinds)
         .groupBy("file_name")
-        .agg(
-            F.sum("part_rows").alias("row_count"),
-            F.bool_or(~F.col("expected")).alias("present"),
-            F.bool_or("expected").alias("expected"),
-        )
+        .agg(F.sum("part_rows").alias("row_count"), F.bool_or("present").alias("present"), F.bool_or("expected").alias("expected"))
         .filter("expected")
         .drop("expected")
     )
