@@ -38,7 +38,8 @@ SAMPLE_ROWS = 20_000
 LEXICON_SIZE = 4_000
 THRESHOLD = 0.7
 STEM = range(4, 8)  # lengths of word beginnings that may be insults
-LEAST_DOCS, LEAST_ODDS = 5, 2.5
+# An insult is in so many toxic documents (at least, and as a share of them), and so much likelier there.
+LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 5, 0.005, 3.5
 REACH = 3  # words over which a negation, a target or a modal verb holds
 
 # Words of the fixed classes.
@@ -52,7 +53,7 @@ TARGET = frozenset(
     "ton vous votre vos tú te usted ustedes ellos".split()
 )
 THREAT = frozenset(
-    "kill kills hurt destroy beat shoot stab burn hang strangle murder crush punch die töten umbringen tuer frapper "
+    "kill kills hurt destroy beat shoot stab burn hang strangle murder crush punch töten umbringen tuer frapper "
     "matar morir golpear".split()
 )
 MODAL = frozenset("will shall should must gonna going want deserve deserves hope werde werden vais allez voy vamos".split())
@@ -282,7 +283,7 @@ def learn(
         F.sum("toxic").alias("toxic"), F.count("*").alias("n")
     )
     odds = F.log((F.col("toxic") + 0.1) / (n_toxic + 0.2)) - F.log((F.col("n") - F.col("toxic") + 0.1) / (n - n_toxic + 0.2))
-    kept = counted.withColumn("weight", odds).where((F.col("toxic") >= LEAST_DOCS) & (F.col("weight") >= LEAST_ODDS))
+    kept = counted.withColumn("weight", odds).where((F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * n_toxic)) & (F.col("weight") >= LEAST_ODDS))
     lexicon = {r["key"]: r["weight"] for r in kept.orderBy(F.desc("weight"), F.desc("toxic"), "key").limit(lexicon_size).collect()}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
