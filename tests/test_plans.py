@@ -16,6 +16,7 @@ WRITING = {
     "gold_layer_counts", "audit_log", "audit_recent", "audit_by_layer", "audit_run_health",
     "layer_reconciliation", "header_contract_cases", "history_claim_views", "gold_row_counts",
     "duplicate_keys", "vw_rejected_claims_ranking", "kpi_utilization_matrix", "raw_balance",
+    "preview_rejected_claims_ranking",
 }
 
 

@@ -651,3 +651,30 @@ ORACLES: dict[str, str] = {
              s = g AS matches
       FROM figures""",
 }
+
+
+def _first_five(sql: str, order: str) -> str:
+    keys = ", ".join(f"{key} NULLS FIRST" for key in order.split(", "))
+    return f"SELECT * FROM ({sql}) ORDER BY {keys} LIMIT 5"
+
+
+ORACLES |= {
+    "preview_medicine_stock_alert": _first_five(
+        ORACLES["vw_medicine_stock_alert"], "hospital_id, medicine_name, category, available_stock, expiry_date"
+    ),
+    "preview_device_utilization": _first_five(ORACLES["vw_device_utilization"], "hospital_id, device_type"),
+    "preview_weekly_admissions": _first_five(ORACLES["vw_weekly_admissions"], "week_start_date"),
+    "preview_claim_status_breakdown": _first_five(
+        ORACLES["vw_claim_status_breakdown"], "insurance_name, claim_status"
+    ),
+    "preview_rejected_claims_ranking": _first_five(
+        ORACLES["vw_rejected_claims_ranking"], "rejection_rank, insurance_name"
+    ),
+    "preview_hospital_events": _first_five(f"WITH {_HOSPITAL} SELECT * EXCLUDE (n) FROM hospital", "event_id"),
+    "preview_device_events": _first_five(
+        f"WITH {_DEVICE} SELECT * EXCLUDE (n) FROM device", "hospital_id, device_id, week, total_units, in_use_units"
+    ),
+    "preview_pharma_events": _first_five(
+        f"WITH {_PHARMA} SELECT * EXCLUDE (n) FROM pharma", "medicine_id, hospital_id"
+    ),
+}

@@ -302,6 +302,30 @@ def preview_top5(b: Bound) -> DataFrame:
     )
 
 
+# The first five rows of the other views and of the sources, each in a total order.
+VIEW_PREVIEWS = {
+    "vw_medicine_stock_alert": ("hospital_id", "medicine_name", "category", "available_stock", "expiry_date"),
+    "vw_device_utilization": ("hospital_id", "device_type"),
+    "vw_weekly_admissions": ("week_start_date",),
+    "vw_claim_status_breakdown": ("insurance_name", "claim_status"),
+    "vw_rejected_claims_ranking": ("rejection_rank", "insurance_name"),
+}
+SOURCE_PREVIEWS = {
+    "Hospital": ("event_id",),
+    "Device": ("hospital_id", "device_id", "week", "total_units", "in_use_units"),
+    "Pharma": ("medicine_id", "hospital_id"),
+}
+for _view, _order in VIEW_PREVIEWS.items():
+    _register(
+        f"preview_{_view.removeprefix('vw_')}",
+        lambda b, v=_view, o=_order: tables.preview(QUERIES[v](b.spark, b.sf_dir), 5, *o),
+    )
+for _name, _order in SOURCE_PREVIEWS.items():
+    _register(
+        f"preview_{_name.lower()}_events",
+        lambda b, n=_name, o=_order: tables.preview(b.source(SOURCES[n]), 5, *o),
+    )
+
 # --------------------------------------------------------------------------
 # Gates
 # --------------------------------------------------------------------------
