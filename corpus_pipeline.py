@@ -17,7 +17,7 @@ from wardlake.llm.jaccard_join import jaccard_components
 from wardlake.llm.mixing import Mix, PRODUCTION, take_mix
 from wardlake.llm.queries import PIECE_BPE
 from wardlake.llm.sentencepiece_codec import sentencepiece_codec
-from wardlake.llm.toxicity import labelled, learn, toxicity_scores
+from wardlake.llm.toxicity import THRESHOLD, labelled, learn, score_of
 
 # As the registered mix, but a document is taken once at most.
 ONE_EPOCH = Mix(PRODUCTION.domain_of, PRODUCTION.default_domain, PRODUCTION.weights, max_epochs=1)
@@ -27,9 +27,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity stays below the threshold."""
     rows = id_and_text(docs, "doc_id", "text")
     scorer = learn(rows, labelled(labels(spark, sf_dir)))
-    # The row goes along as one value, so that its columns may have any names.
-    scored = toxicity_scores(docs.select(F.struct("*").alias("row"), docs["text"].alias("text")), scorer)
-    return scored.where("predicted = 0").select("row.*")
+    if scorer is None:
+        return docs
+    return docs.where(score_of(scorer, F.coalesce(docs["text"].cast("string"), F.lit(""))) < THRESHOLD)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

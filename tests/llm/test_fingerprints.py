@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.data import documents, frame, row, texts, tuples
 from wardlake.llm import fingerprints as fp
@@ -77,13 +78,10 @@ def test_neighbours_of_few(spark, rows):
     assert tuples(fp.fingerprint_neighbours(frame(spark, rows)), *COLUMNS) == plain(texts(rows))
 
 
-def test_buckets_count_bounds():
-    bounds = list(range(0, 100, 7))
-
-    def plain_count(x):
-        return sum(b <= x for b in bounds)
-
-    assert [plain_count(x) for x in (-1, 0, 6, 7, 98, 99)] == [0, 1, 1, 2, 15, 15]
+@pytest.mark.parametrize("bounds", [[], [5], list(range(0, 100, 7))])
+def test_buckets_count_bounds(spark, bounds):
+    rows = spark.range(-2, 101).select("id", fp.bucket_of(F.col("id"), bounds).alias("bucket")).collect()
+    assert [r["bucket"] for r in rows] == [sum(b <= r["id"] for b in bounds) for r in rows]
 
 
 def test_fingerprints(spark):

@@ -28,8 +28,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from wardlake.llm.common import id_and_text
@@ -178,7 +179,7 @@ class Reader:
     def classify(self, word: str) -> tuple[str, float]:
         """Class and weight of a lower-case token; a bounded number is remembered."""
         if word not in self.seen:
-            if len(self.seen) > 500_000:
+            if len(self.seen) > 200_000:
                 self.seen.clear()
             self.seen[word] = self._classify(word)
         return self.seen[word]
@@ -323,6 +324,18 @@ def toxicity_scores(docs: DataFrame, scorer: Scorer | None, threshold: float = T
     return kept.mapInArrow(score, schema)
 
 
+def score_of(scorer: Scorer, text: Column) -> Column:
+    """The score as a column: only texts go to Python, the other columns stay where they are."""
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        reader = Reader(scorer.lexicon)
+        for batch in batches:
+            yield pd.Series([scorer.score(reader.clauses(t)) for t in batch], dtype="float64")
+
+    return score(text)
+
+
 def labelled(labels: DataFrame) -> DataFrame:
     """Label rows that may be learned from: crc32 of the id as text, modulo 3, is not 1."""
     return labels.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1).select("doc_id", "toxic")
