@@ -98,11 +98,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """doc_id, keep_id, group_size, kept, text_sha256 and n_bytes of every row."""
     rows = identities(id_and_text(docs, id_col, text_col))
     groups = rows.groupBy("identity", "n_bytes").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    # Written first, so that the join reads plain partitions, which Spark splits for a large group.
-    joined = rows.join(written(groups, "groups"), ["identity", "n_bytes"])
     # Rows of one id and text are told apart by a number; only the first of them stays.
     again = Window.partitionBy("identity", "n_bytes", "doc_id").orderBy("text_sha256")
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.row_number().over(again) == 1)
+    rows = rows.withColumn("again", F.row_number().over(again))
+    # Nothing but the join needs a group together, and both its sides are plain partitions, so
+    # Spark splits those of a large group.
+    joined = rows.join(written(groups, "groups"), ["identity", "n_bytes"])
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("again") == 1)
     return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", F.col("n_bytes").cast("long"))
 
 
