@@ -164,3 +164,14 @@ def test_linked_sets_share_a_signature(sets):
             mine, other = (set(jaccard_join.signatures(x, allocated, 85).tolist()) for x in (a, b))
             assert mine & other
     assert tried > 300
+
+
+def test_bitmaps_never_rule_out_a_link():
+    rng = np.random.default_rng(11)
+    for _ in range(300):
+        size = int(rng.choice([6, 20, 150, 900, 4000]))
+        a = np.unique(rng.integers(0, 2**62, size).astype(np.uint64))
+        drop = int(rng.integers(0, max(2, size // 5)))
+        b = np.unique(np.concatenate((a[drop:], rng.integers(0, 2**62, int(rng.integers(0, drop + 2))).astype(np.uint64))))
+        bits = int(np.bitwise_count((jaccard_join.parities(a) ^ jaccard_join.parities(b)).view(np.uint64)).sum())
+        assert bits <= len(np.setxor1d(a, b))

@@ -21,10 +21,11 @@ sent, and signatures times the sets expected to share one by chance, by the meas
 of sets in the band. Few sets or long segments need no neighbourhood; small sets in large bands do.
 
 *Verification.* Each group of sets with a signature in common proposes its least member (the pivot)
-against the others, one row each. Proposed pairs are verified on the texts, and links give
+against the others, one row each. Pairs whose sizes, or whose bitmaps of parities, differ by too
+much cannot link and go; the others are verified on the texts, and links give
 components. Groups that still hold several components propose again, by a member of their
-smallest component, until none does; once the pairs left across components are few, all of
-them are proposed together. So copies of copies never meet in pairs, and no pair of components stays unchecked.
+smallest component, until none does; once the pairs left across components are few enough to be
+looked at, all of them are, and those that sizes and bitmaps allow are proposed together. So copies of copies never meet in pairs, and no pair of components stays unchecked.
 
 Classes are told apart by 64 bits, which a second hash of 64 bits checks on every row.
 
@@ -53,7 +54,8 @@ UNIVERSES = 6
 SLACK = 1.1  # segments beyond those needed, for empty ones
 CHANCE = 0.03  # that a shingle of one set is in an unrelated one
 MEMBERS_PER_SALT = 2_000
-ALL_AT_ONCE = 20  # pairs left per proposed row up to which all are proposed
+ALL_AT_ONCE = 5_000  # pairs left per proposed row up to which all of them are looked at together
+PARITY_WORDS = 8  # 64-bit words of a set's parity bitmap
 ROWS = 512
 _ODD = 0x9E3779B97F4A7C15
 
@@ -154,19 +156,41 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def parities(items: np.ndarray) -> np.ndarray:
+    """A bitmap with a bit for each hash place: whether an odd number of shingles falls there.
+
+    A shingle that only one of two sets has changes one bit, so two bitmaps differ in no more
+    bits than the sets differ in shingles.
+    """
+    places = mix(items + np.uint64(0x2545F4914F6CDD1D)) % np.uint64(64 * PARITY_WORDS)
+    odd = np.bincount(places.astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def may_link(percent: int):
+    """Whether sizes and bitmaps of two sets (n, p0... and m, q0...) leave a link possible."""
+    n, m = F.col("n"), F.col("m")
+    bits = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(PARITY_WORDS)), F.lit(0))
+    close = percent * F.greatest(n, m) <= 100 * F.least(n, m)
+    return close & ((100 + percent) * bits <= (100 - percent) * (n + m))
+
+
 def set_rows(gram: int):
-    """(doc_id, text, text_key) to doc_id, text_key, n_shingles and the set's names."""
+    """(doc_id, text, text_key) to doc_id, text_key, n_shingles, the set's names and its bitmap."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, names = [], []
+            sizes, names, bitmaps = [], [], []
             for text in batch.column(1):
                 items = shingles(text.as_py(), gram)
                 sizes.append(len(items))
                 names.append(set_ids(items))
+                bitmaps.append(parities(items))
+            bitmaps = np.array(bitmaps, dtype=np.int64).reshape(-1, PARITY_WORDS)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array([n[0] for n in names], pa.int64()), pa.array([n[1] for n in names], pa.int64())],
-                names=["doc_id", "text_key", "n_shingles", "set_id", "check_id"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array([n[0] for n in names], pa.int64()), pa.array([n[1] for n in names], pa.int64()),
+                 *[pa.array(bitmaps[:, i].copy(), pa.int64()) for i in range(PARITY_WORDS)]],
+                names=["doc_id", "text_key", "n_shingles", "set_id", "check_id", *[f"p{i}" for i in range(PARITY_WORDS)]],
             )
 
     return name
@@ -257,9 +281,24 @@ def verified(pairs: DataFrame, texts: DataFrame, gram: int, percent: int) -> Dat
     return written(rows.mapInArrow(verifier(gram, percent), "a long, b long"), "verified")
 
 
-def components_of(proposed: DataFrame, texts: DataFrame, gram: int, percent: int) -> DataFrame:
-    """node and root of every set that links, from the proposing groups."""
-    pairs = written(proposed.select(F.col("pivot").alias("a"), F.col("set_id").alias("b")).distinct(), "pairs")
+def renamed(members: DataFrame, x: str, other: str) -> DataFrame:
+    """Members as the other side of a join: signature, x, other, and their size and bitmap."""
+    shape = [F.col("n").alias("m"), *[F.col(f"p{i}").alias(f"q{i}") for i in range(PARITY_WORDS)]]
+    return members.select("signature", F.col(x).alias("x"), F.col(other).alias("other"), *shape)
+
+
+def components_of(proposed: DataFrame, texts: DataFrame, shapes: DataFrame, gram: int, percent: int) -> DataFrame:
+    """node and root of every set that links, from the proposing groups.
+
+    ``shapes`` has each set's size and bitmap; pairs that these rule out are not verified.
+    """
+    kept = [c for c in shapes.columns if c != "set_id"]
+    others = shapes.select("set_id", *[F.col(c).alias("m" if c == "n" else c.replace("p", "q")) for c in kept])
+    possible = may_link(percent)
+    pairs = proposed.select(F.col("pivot").alias("a"), F.col("set_id").alias("b")).distinct()
+    pairs = pairs.join(shapes, pairs["a"] == shapes["set_id"]).drop("set_id")
+    pairs = pairs.join(others, pairs["b"] == others["set_id"]).where(possible).select("a", "b")
+    pairs = written(pairs, "pairs")
     links = verified(pairs, texts, gram, percent)
     roots = connected_components(links)
     left = proposed.select("signature", "set_id")  # members but for the pivots that had their turn
@@ -276,16 +315,17 @@ def components_of(proposed: DataFrame, texts: DataFrame, gram: int, percent: int
         rows, across = open_.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).head()
         if not rows:
             return roots
-        members = written(placed.join(open_.select("signature", "main", "pivot"), "signature"), "members")
+        members = placed.join(open_.select("signature", "main", "pivot"), "signature").join(shapes, "set_id")
+        members = written(members, "members")
         last = across <= ALL_AT_ONCE * rows
         if last:
             # Of a pair across components, one lies outside the group's largest component.
-            minor = members.where("root <> main").select("signature", F.col("set_id").alias("x"), F.col("root").alias("other"))
-            found = members.join(minor, "signature").where("root <> other")
+            minor = renamed(members.where("root <> main"), x="set_id", other="root")
+            found = members.join(minor, "signature").where(possible & (F.col("root") != F.col("other")))
             found = found.select(F.least("set_id", "x").alias("a"), F.greatest("set_id", "x").alias("b"))
         else:
-            own = members.where("set_id = pivot").select("signature", F.col("root").alias("pivot_root"))
-            found = members.join(own, "signature").where("set_id <> pivot and root <> pivot_root")
+            own = renamed(members.where("set_id = pivot"), x="set_id", other="root")
+            found = members.join(own, "signature").where(possible & (F.col("root") != F.col("other")))
             found = found.select(F.col("pivot").alias("a"), F.col("set_id").alias("b"))
         pairs = written(found.distinct(), "pairs")
         more = verified(pairs, texts, gram, percent)
@@ -304,10 +344,13 @@ def jaccard_components(
     hash that tells rows of one id apart) of every row."""
     rows = id_and_text(docs, id_col, text_col)
     keyed = rows.withColumn("text_key", F.xxhash64("text"))
-    sets = keyed.mapInArrow(set_rows(gram), "doc_id long, text_key long, n_shingles long, set_id long, check_id long")
+    parity = [f"p{i}" for i in range(PARITY_WORDS)]
+    schema = "doc_id long, text_key long, n_shingles long, set_id long, check_id long, " + ", ".join(f"{p} long" for p in parity)
+    sets = keyed.mapInArrow(set_rows(gram), schema)
     sets = written(sets, "sets")
     classes = sets.where("n_shingles > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("class_id"), F.max("n_shingles").alias("n"), (F.min("check_id") != F.max("check_id")).alias("clash")
+        F.min("doc_id").alias("class_id"), F.max("n_shingles").alias("n"), (F.min("check_id") != F.max("check_id")).alias("clash"),
+        *[F.min(p).alias(p) for p in parity],
     )
     classes = written(classes, "classes")
     if classes.where("clash").head(1):
@@ -325,7 +368,8 @@ def jaccard_components(
     needed = needed.join(classes.select("set_id", "class_id"), "set_id")
     texts = rows.join(needed, rows["doc_id"].eqNullSafe(needed["class_id"])).select("set_id", "text")
     texts = written(texts.mapInArrow(chosen_sets(gram), "set_id long, text string").dropDuplicates(["set_id"]), "texts")
-    roots = components_of(proposed, texts, gram, percent)
+    shapes = classes.select("set_id", "n", *parity)
+    roots = components_of(proposed, texts, shapes, gram, percent)
     placed = classes.join(roots, classes["set_id"] == roots["node"], "left")
     placed = placed.select("set_id", "class_id", F.coalesce("root", "set_id").alias("root"))
     least = placed.groupBy("root").agg(F.min("class_id").alias("component_id"))
