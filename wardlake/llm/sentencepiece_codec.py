@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from wardlake.llm.common import id_and_text
 
 MARKER = "▁"
-CACHE_WORDS = 800_000
+CACHE_WORDS = 200_000
 ROWS = 512
 TOGETHER = 16  # words sent to the library in one text
 # Fixed values of the model format: kinds of pieces and of models.
