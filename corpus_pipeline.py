@@ -19,6 +19,9 @@ from wardlake.llm.queries import PIECE_BPE
 from wardlake.llm.sentencepiece_codec import sentencepiece_codec
 from wardlake.llm.toxicity import THRESHOLD, labelled, learn, score_of
 
+# Near copies share 80 % of their 5-word shingles; op5_jaccard_join has values of its own.
+NEAR_GRAM, NEAR_PERCENT = 5, 80
+
 # As the registered mix, but a document is taken once at most.
 ONE_EPOCH = Mix(PRODUCTION.domain_of, PRODUCTION.default_domain, PRODUCTION.weights, max_epochs=1)
 
@@ -42,7 +45,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without shingles link with nothing; those of them that repeat id and text are one.
     """
-    found = jaccard_components(docs)
+    found = jaccard_components(docs, gram=NEAR_GRAM, percent=NEAR_PERCENT)
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
     gone = written(found.where(~stays).select("doc_id", "text_key").distinct(), "gone")
     keyed = docs.select(

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
-from tests.llm.data import SF, documents, frame, texts, tuples
+from tests.llm.data import SF, documents, frame, row, texts, tuples
 from tests.llm.test_pairs_and_copies import plain_components
 from wardlake.llm import mixing
 from wardlake.llm.queries import ORACLES, QUERIES
@@ -76,6 +76,20 @@ def test_stages_on_awkward_rows(spark, tmp_path):
     assert sorted(((r["doc_id"], bytes(r["ids"])) for r in last.collect()), key=repr) == expected
 
 
+def test_near_stage_takes_five_words_and_80_percent(spark, tmp_path):
+    rows, pairs = [], 0
+    for base in range(4):
+        text = [f"b{base}w{i}" for i in range(300)]
+        changed = [text, text[:250], text + [f"x{base}n{i}" for i in range(60)], text[:120] + [f"y{base}n{i}" for i in range(28)] + text[148:]]
+        rows += [row(10 * base + k, " ".join(changed[k])) for k in (0, base)]
+        pairs += base > 0
+    by_name = dict(corpus_pipeline.STAGES)
+    kept = [r[0] for r in tuples(by_name["near_dedup"](spark, frame(spark, rows), str(tmp_path)), "doc_id")]
+    assert kept == [0, 10, 20, 30]
+    assert kept == sorted({c for _, _, c in plain_components(texts(rows), 5, 80)})
+    assert len({c for _, _, c in plain_components(texts(rows), 4, 85)}) == len(kept) + pairs
+
+
 def test_stages_on_an_empty_table(spark, tmp_path):
     folder = labels_folder(tmp_path, spark, [])
     docs = frame(spark, [])
