@@ -1,6 +1,7 @@
 """Substring dedup, exact dedup and the Jaccard join against brute force."""
 
 import hashlib
+import uuid
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -141,6 +142,29 @@ def test_jaccard_join(spark, monkeypatch, chance, at_once):
     assert any(c is not None and c != i for i, _, c in expected)
 
 
+def test_rows_of_one_id_do_not_meet_every_set_of_it(spark, monkeypatch, tmp_path):
+    rows = []
+    for i in range(30):
+        text = [f"s{i}w{j}" for j in range(40)]
+        rows += [row(None, " ".join(text)), row(None, " ".join([*text, "end"]))]
+    plain = jaccard_join.chosen_sets
+
+    def counted(gram):
+        choose = plain(gram)
+
+        def count(batches):
+            for batch in batches:
+                (tmp_path / uuid.uuid4().hex).write_text(str(len(batch)))
+                yield from choose(iter([batch]))
+
+        return count
+
+    monkeypatch.setattr(jaccard_join, "chosen_sets", counted)
+    found = jaccard_join.jaccard_components(frame(spark, rows))
+    assert tuples(found, "doc_id", "n_shingles", "component_id") == plain_components(texts(rows), 4, 85)
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == len(rows)
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.jaccard_components(frame(spark, [])).count() == 0
     bare = jaccard_join.jaccard_components(frame(spark, [row(5, None), row(6, "")]))

@@ -44,7 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wardlake.llm.common import gram_hashes, id_and_text, mix, word_hashes, written
+from wardlake.llm.common import gram_hashes, id_and_text, mix, same_row, word_hashes, written
 from wardlake.llm.components import connected_components
 
 GRAM = 4
@@ -240,7 +240,7 @@ def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def chosen_sets(gram: int):
-    """(set_id, text) rows whose text has that set; a repeated id may bring others."""
+    """(set_id, text) rows whose text has that set; two texts of one hash may bring others."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -349,10 +349,11 @@ def jaccard_components(
     sets = keyed.mapInArrow(set_rows(gram), schema)
     sets = written(sets, "sets")
     classes = sets.where("n_shingles > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("class_id"), F.max("n_shingles").alias("n"), (F.min("check_id") != F.max("check_id")).alias("clash"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), (F.min("check_id") != F.max("check_id")).alias("clash"),
         *[F.min(p).alias(p) for p in parity],
     )
-    classes = written(classes, "classes")
+    # The first row of a set: the one with its least id and, of those, the least hash of its text.
+    classes = written(classes.withColumn("class_id", F.col("first.doc_id")), "classes")
     if classes.where("clash").head(1):
         raise RuntimeError("two sets share a 64-bit name; change the salts of set_ids")
     largest = classes.agg(F.max("n")).head()[0] or 0
@@ -365,8 +366,8 @@ def jaccard_components(
     ordered = sent.repartition("signature").sortWithinPartitions("signature", "set_id")
     proposed = written(ordered.mapInArrow(groups, "signature long, pivot long, set_id long"), "proposed")
     needed = proposed.select("set_id").unionByName(proposed.select(F.col("pivot").alias("set_id"))).distinct()
-    needed = needed.join(classes.select("set_id", "class_id"), "set_id")
-    texts = rows.join(needed, rows["doc_id"].eqNullSafe(needed["class_id"])).select("set_id", "text")
+    needed = needed.join(classes.select("set_id", "first.doc_id", "first.text_key"), "set_id")
+    texts = same_row(keyed, needed, "inner").select("set_id", "text")
     texts = written(texts.mapInArrow(chosen_sets(gram), "set_id long, text string").dropDuplicates(["set_id"]), "texts")
     shapes = classes.select("set_id", "n", *parity)
     roots = components_of(proposed, texts, shapes, gram, percent)
