@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardlake.llm.common import documents, id_and_text, labels, same_row, written
 from wardlake.llm.exact_dedup import drop_copies
-from wardlake.llm.jaccard_join import jaccard_components
+from wardlake.llm.jaccard_join import component_rows
 from wardlake.llm.mixing import Mix, PRODUCTION, take_mix
 from wardlake.llm.queries import PIECE_BPE
 from wardlake.llm.sentencepiece_codec import sentencepiece_codec
@@ -41,20 +41,20 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies, the one with the least id.
+    """One document of each component of near copies, the one with the least id; of several
+    texts under that id, the one with the least hash.
 
     Documents without shingles link with nothing; those of them that repeat id and text are one.
     """
-    found = jaccard_components(docs, gram=NEAR_GRAM, percent=NEAR_PERCENT)
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    gone = written(found.where(~stays).select("doc_id", "text_key").distinct(), "gone")
+    found = component_rows(docs, gram=NEAR_GRAM, percent=NEAR_PERCENT)
+    gone = written(found.where("not stays").select("doc_id", "text_key").distinct(), "gone")
     keyed = docs.select(
         F.struct("*").alias("row"), docs["doc_id"].cast("long").alias("doc_id"),
         F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("text_key"),
     )
     left = same_row(keyed, gone, "left_anti")
     # Rows that repeat an id and its text: only if there are any, one of them is picked.
-    again = found.where(stays).groupBy("doc_id", "text_key").count().where("count > 1")
+    again = found.where("stays").groupBy("doc_id", "text_key").count().where("count > 1")
     if again.head(1):
         left = left.dropDuplicates(["doc_id", "text_key"])
     return left.select("row.*")

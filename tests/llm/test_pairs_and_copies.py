@@ -107,6 +107,15 @@ def test_drop_copies_keeps_rows_whole(spark):
     assert exact_dedup.drop_copies(frame(spark, [])).count() == 0
 
 
+def test_drop_copies_takes_case_variants_of_one_id_once(spark):
+    rows = [row(1, "A b"), row(1, "a B"), row(1, "a B"), row(2, None), row(2, ""), row(None, "C"), row(None, "c"), row(3, "A")]
+    docs = frame(spark, rows)
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.columns == docs.columns
+    assert [(i, (t or "").lower()) for i, t in tuples(kept, "doc_id", "text")] == [(1, "a b"), (2, ""), (3, "a"), (None, "c")]
+    assert kept.count() == exact_dedup.exact_dedup(docs).where("kept").count()
+
+
 def plain_components(rows, gram, percent):
     sets = []
     for _, text in rows:

@@ -90,6 +90,18 @@ def test_near_stage_takes_five_words_and_80_percent(spark, tmp_path):
     assert len({c for _, _, c in plain_components(texts(rows), 4, 85)}) == len(kept) + pairs
 
 
+def test_near_stage_keeps_one_row_under_null_and_repeated_ids(spark, tmp_path):
+    def near(name, i):
+        return " ".join([f"{name}{j}" for j in range(60)] + [f"end{i}"])
+
+    rows = [row(None, near("n", i)) for i in range(4)]  # near copies without an id
+    rows += [row(7, near("r", i)) for i in range(3)] + [row(8, near("r", 0))]  # and under the least id
+    rows += [row(None, near("n", 0)), row(None, None), row(None, ""), row(9, near("s", 0)), row(None, near("s", 1))]
+    by_name = dict(corpus_pipeline.STAGES)
+    kept = tuples(by_name["near_dedup"](spark, frame(spark, rows), str(tmp_path)), "doc_id", "text")
+    assert sorted((i is None, i or 0, (t or "")[:1]) for i, t in kept) == [(False, 7, "r"), (False, 9, "s"), (True, 0, ""), (True, 0, "n")]
+
+
 def test_stages_on_an_empty_table(spark, tmp_path):
     folder = labels_folder(tmp_path, spark, [])
     docs = frame(spark, [])

@@ -117,9 +117,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sha = F.sha2(F.encode(ascii_lower(text), "UTF-8"), 256)
     same = docs[id_col].cast("long").eqNullSafe(stay["__id"]) & (sha == stay["__sha"])
     rows = docs.join(stay, same, "left_semi")
-    # A repeated row passes as often as it stands there; only then is a row picked.
+    # Rows of one id and normalised text all pass; only if there are any is a row picked.
     if found.where((F.col("group_size") > 1) & ~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).head(1):
-        rows = rows.dropDuplicates([id_col, text_col])
+        keyed = rows.select(F.struct("*").alias("row"), docs[id_col].cast("long").alias("id"), sha.alias("sha"))
+        rows = keyed.dropDuplicates(["id", "sha"]).select("row.*")
     return rows
 
 

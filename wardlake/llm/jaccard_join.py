@@ -342,6 +342,14 @@ def jaccard_components(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id (least id with the same set) and text_key (a
     hash that tells rows of one id apart) of every row."""
+    return component_rows(docs, gram, percent, id_col, text_col).drop("stays")
+
+
+def component_rows(
+    docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The same, and whether the row stays when one row of each component does: its first by id
+    (NULL last) and text_key; rows that repeat id and text stay or go together."""
     rows = id_and_text(docs, id_col, text_col)
     keyed = rows.withColumn("text_key", F.xxhash64("text"))
     parity = [f"p{i}" for i in range(PARITY_WORDS)]
@@ -372,11 +380,13 @@ def jaccard_components(
     shapes = classes.select("set_id", "n", *parity)
     roots = components_of(proposed, texts, shapes, gram, percent)
     placed = classes.join(roots, classes["set_id"] == roots["node"], "left")
-    placed = placed.select("set_id", "class_id", F.coalesce("root", "set_id").alias("root"))
-    least = placed.groupBy("root").agg(F.min("class_id").alias("component_id"))
+    placed = placed.select("set_id", "class_id", "first", F.coalesce("root", "set_id").alias("root"))
+    least = placed.groupBy("root").agg(F.min("first").alias("stay"))
     # Written first, so that the last join reads plain partitions, which Spark splits for a large class.
-    known = written(placed.join(least, "root").select("set_id", "class_id", "component_id"), "known")
-    full = sets.where("n_shingles > 0").join(known, "set_id").select("doc_id", "n_shingles", "component_id", "class_id", "text_key")
+    known = written(placed.join(least, "root").select("set_id", "class_id", "stay"), "known")
+    full = sets.where("n_shingles > 0").join(known, "set_id").withColumn("component_id", F.col("stay.doc_id"))
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("stay.text_key"))
+    full = full.select("doc_id", "n_shingles", "component_id", "class_id", "text_key", stays.alias("stays"))
     own = F.col("doc_id")
-    bare = sets.where("n_shingles = 0").select("doc_id", "n_shingles", own.alias("component_id"), own.alias("class_id"), "text_key")
+    bare = sets.where("n_shingles = 0").select("doc_id", "n_shingles", own.alias("component_id"), own.alias("class_id"), "text_key", F.lit(True).alias("stays"))
     return full.unionByName(bare)
