@@ -70,6 +70,23 @@ def test_awkward_rows(spark):
     assert tox.toxicity(frame(spark, []), labels).count() == 0
 
 
+def test_a_repeated_id_is_learned_from_once(spark, monkeypatch):
+    rows, labels, seen = [], [], []
+    for i in range(120):
+        word = "zorgon" if i % 4 == 0 else f"plain{i}"
+        rows.append((i, f"some words {word} and more of them"))
+        labels.append((i, int(i % 4 == 0)))
+    fitted = tox.fit_curve
+    monkeypatch.setattr(tox, "fit_curve", lambda x, y, **more: seen.append(len(y)) or fitted(x, y, **more))
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int")
+    docs = [spark.createDataFrame(r, "doc_id long, text string") for r in (rows, rows + [rows[0]] * 500 + [rows[1]] * 500)]
+    once, again = (tox.learn(d, marked) for d in docs)
+    assert seen == [120, 120] and once.lexicon == again.lexicon
+    assert once.weights == pytest.approx(again.weights)
+    tox.learn(docs[1], marked, sample_rows=50)
+    assert seen[2] <= 50
+
+
 def test_held_out_documents(spark):
     folder = str(SF).replace("sf0.001", "sf0.1")
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")

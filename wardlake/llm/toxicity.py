@@ -11,7 +11,7 @@ the sum of its events' weights, and a document follows from the strongest clause
 many clauses match, through a logistic curve.
 
 What is learned, from at most ``sample_rows`` labelled rows (those with the least hash of
-their id): insults, which are words and word beginnings that toxic documents hold far more
+their id, and of several texts of an id one): insults, which are words and word beginnings that toxic documents hold far more
 often than others, up to ``lexicon_size``; and the curve's weights. Only the text is an input.
 
 Defined cases: NULL and empty texts match nothing and get the score of a text without
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from wardlake.llm.common import id_and_text
+from wardlake.llm.common import id_and_text, written
 
 SAMPLE_ROWS = 20_000
 LEXICON_SIZE = 4_000
@@ -276,7 +276,10 @@ def learn(
     """
     one = labels.groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
     ids = one.where("doc_id is not null and toxic is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    sample = docs.join(F.broadcast(ids), "doc_id").select("toxic", "text")  # at most sample_rows ids
+    # One text of each id, that with the least hash, so that repeated ids neither grow the sample nor count twice.
+    of_ids = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id")
+    sample = of_ids.agg(F.max("toxic").alias("toxic"), F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    sample = written(sample.select("toxic", "text"), "sample")
     n_toxic, n = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).head()
     if not 0 < n_toxic < n:
         return None
