@@ -1,15 +1,18 @@
 """The pipeline stage by stage, and the registered queries."""
 
+import random
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
+import sentencepiece
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
-from tests.llm.data import SF, documents, frame, row, texts, tuples
+from tests.llm.data import SF, documents, frame, in_duck, row, texts, tuples, words
 from tests.llm.test_pairs_and_copies import plain_components
-from wardlake.llm import mixing
+from wardlake.llm import mixing, toxicity
 from wardlake.llm.queries import ORACLES, QUERIES
 from wardlake.llm.sentencepiece_codec import codec
 
@@ -111,6 +114,45 @@ def test_stages_on_an_empty_table(spark, tmp_path):
         docs = out if name != "sentencepiece" else docs
 
 
+def plain_toxicity(spark, docs, folder):
+    """A score of every row by the learned scorer, one text at a time."""
+    rows = docs.select("doc_id", "text").fillna("", "text")
+    scorer = toxicity.learn(rows, toxicity.labelled(spark.read.parquet(f"{folder}/labels.parquet")))
+    reader = toxicity.Reader(scorer.lexicon)
+    return lambda text: scorer.score(reader.clauses(text or ""))
+
+
+def test_run_equals_plain_stages(spark, tmp_path):
+    rng = random.Random(5)
+    rows = documents(seed=8, groups=12)
+    for i in range(160):
+        rows.append(row(20_000 + i, " ".join(words(rng, 12) + ["zorgon"] * (i % 4 == 0)), source=f"src{i % 4}"))
+    folder = labels_folder(tmp_path, spark, [(20_000 + i, 1, int(i % 4 == 0)) for i in range(160)])
+    frame(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+
+    score = plain_toxicity(spark, docs, folder)
+    left = [r for r in rows if score(r[1]) < toxicity.THRESHOLD]
+    assert 0 < len(left) < len(rows)
+    staged = corpus_pipeline.STAGES[0][1](spark, docs, folder)
+    assert tuples(staged, "doc_id", "text") == sorted(texts(left), key=repr)
+
+    copies = {}
+    for r in left:
+        key = (r[1] or "").encode().lower()
+        if key not in copies or (r[0] is not None and (copies[key][0] is None or r[0] > copies[key][0])):
+            copies[key] = r
+    stay = {least for _, _, least in plain_components(texts(copies.values()), 5, 80)}
+    near = [r for r in copies.values() if r[0] in stay]
+    columns, mixed = in_duck(near, mixing.oracle(corpus_pipeline.ONE_EPOCH))
+    taken = {r[columns.index("doc_id")] for r in mixed if r[columns.index("copies")] > 0}
+    library, kind = sentencepiece.SentencePieceProcessor(model_file=corpus_pipeline.PIECE_BPE), codec(corpus_pipeline.PIECE_BPE).kind
+    expected = sorted(((r[0], library.encode(r[1] or "")) for r in near if r[0] in taken), key=repr)
+    found = corpus_pipeline.run(spark, folder).collect()
+    assert 0 < len(expected) < len(near) < len(copies) < len(left)
+    assert sorted(((r["doc_id"], np.frombuffer(r["ids"], kind).tolist()) for r in found), key=repr) == expected
+
+
 def test_run_takes_every_stage(spark):
     found = corpus_pipeline.run(spark, str(SF))
     docs = spark.read.parquet(f"{SF}/documents.parquet")
