@@ -19,7 +19,7 @@ from wardlake.llm.sentencepiece_codec import codec
 
 def test_all_are_registered():
     names = entry_point.queries()
-    assert {f"op{i}_" for i in range(1, 11)} == {n[: n.index("_") + 1] for n in QUERIES}
+    assert {f"op{i}_" for i in range(1, 14)} == {n[: n.index("_") + 1] for n in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(names)
     assert set(ORACLES) <= set(entry_point.oracle_sql())
 

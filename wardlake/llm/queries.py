@@ -7,17 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardlake.llm import exact_dedup, licenses, mixing
+from wardlake.llm import exact_dedup, licenses, merkle_manifest, mixing
+from wardlake.llm.bpe_codec import bpe_codec
 from wardlake.llm.common import documents, labels
 from wardlake.llm.fingerprints import fingerprint_neighbours
 from wardlake.llm.jaccard_join import jaccard_components
 from wardlake.llm.sentencepiece_codec import sentencepiece_codec
 from wardlake.llm.substring_dedup import substring_dedup
+from wardlake.llm.token_alignment import token_alignment
 from wardlake.llm.token_counts import token_counts
 from wardlake.llm.token_files import token_files
 from wardlake.llm.toxicity import toxicity
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -61,6 +64,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.merkle_manifest(documents(spark, sf_dir))
+
+
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec(documents(spark, sf_dir), WORD_BPE)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment(documents(spark, sf_dir), BYTE_BPE, PIECE_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_mix_sources,
         op10_license_scan,
+        op11_merkle_manifest,
+        op12_bpe_codec,
+        op13_token_alignment,
     )
 }
 
@@ -81,4 +99,5 @@ ORACLES: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op9_mix_sources": mixing.oracle(),
     "op10_license_scan": licenses.oracle(),
+    "op11_merkle_manifest": merkle_manifest.ORACLE,
 }
