@@ -48,7 +48,12 @@ def test_full_run_twice_gives_the_same_tables(spark, ctx):
         ("gold", "gold_rejected_claims", 1, "Success"),
         ("gold", "gold_patient_status", 2, "Success"),
     }
-    assert tuples(audit.audit_run_health(log)) == {("run1", 15, True), ("run2", 15, True)}
+    assert tuples(audit.audit_run_health(log)) == {
+        (1, "run1", "COMPLETE", "gold", 15, True), (2, "run2", "COMPLETE", "gold", 15, True)
+    }
+    newest = [(r.run_id, r.layer, r.source) for r in audit.audit_recent(log).collect()]
+    assert newest[0] == ("run2", "gold", "gold_claim_status_summary") and newest[-1] == ("run1", "Init", "ALL")
+    assert [layer for run, layer, _ in newest if run == "run1"] == ["gold"] * 7 + ["reject"] * 2 + ["silver"] * 3 + ["raw"] * 3 + ["Init"]
     assert audit.audit_by(log, layer="raw", run_id="run1").count() == 3
     assert tuples(audit.raw_balance(log).filter("run_id = 'run2'")) == {
         ("run2", "Hospital", 9, 5, 4, True), ("run2", "Pharma", 8, 5, 3, True)
@@ -94,6 +99,111 @@ def test_a_failing_gate_is_audited_and_keeps_the_last_good_bronze(spark, ctx):
     }
     assert all_rows(spark, ctx) == before
     assert tables.read_bronze(spark, ctx.bronze_path(HOSPITAL)).count() == 9
+    log = spark.table(ctx.audit_table)
+    assert tuples(audit.audit_run_health(log).filter("run_id = 'bad'")) == {(2, "bad", "FAILED", "Any", 0, False)}
+
+
+@pytest.mark.parametrize("broken, buckets", [("dim_device", None), ("fact_billing", 2), ("hospital_dimensions", None)])
+def test_a_run_that_fails_in_one_table_leaves_all_at_the_last_version(spark, ctx, monkeypatch, buckets, broken):
+    ctx = replace(ctx, fact_buckets=buckets)
+    land(spark, ctx)
+    jobs.run_medallion(spark, ctx)
+    before, by_name = all_rows(spark, ctx), {t: tuples(spark.table(ctx.silver_table(t))) for t in SILVER}
+    second = replace(ctx, run_id="run2", as_of=ctx.as_of.replace(year=2025))
+    write = (tables, "write_dimensions") if broken == "hospital_dimensions" else (tables, "write_version")
+    original = getattr(*write)
+
+    def failing(df, run, version, *table):
+        if broken == "hospital_dimensions" or table == (broken,):
+            raise OSError("disk is gone")
+        original(df, run, version, *table)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(*write, failing)
+        with pytest.raises(OSError):
+            jobs.run_medallion(spark, second)
+    assert all_rows(spark, ctx) == before
+    assert {t: tuples(spark.table(ctx.silver_table(t))) for t in SILVER} == by_name
+    assert len(list(Path(ctx.silver_folder("")).iterdir())) == 1  # nothing is left of the failed version
+    # The same run succeeds later, and all tables move together.
+    jobs.run_medallion(spark, second)
+    assert not any(by_name[t] == tuples(spark.table(ctx.silver_table(t))) for t in ("dim_patient", "fact_admission", "fact_billing"))
+
+
+def published(spark, ctx):
+    return tables.database_properties(spark, ctx.database)[tables.PUBLISHED]
+
+
+def test_a_switch_that_fails_shows_the_last_version_again(spark, ctx, monkeypatch):
+    land(spark, ctx)
+    jobs.run_medallion(spark, ctx)
+    before, version = all_rows(spark, ctx), published(spark, ctx)
+    snapshot = tables.silver_snapshot(spark, ctx)
+    calls, refresh = [], type(spark.catalog).refreshTable
+
+    def seventh_fails(self, name):
+        calls.append(name)
+        if len(calls) == 7:
+            raise OSError("catalog is gone")
+        refresh(self, name)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark.catalog), "refreshTable", seventh_fails)
+        with pytest.raises(OSError):
+            jobs.run_silver(spark, replace(ctx, as_of=ctx.as_of.replace(year=2025)))
+    assert (all_rows(spark, ctx), published(spark, ctx)) == (before, version)
+    # A reader that began before two more versions still has its own after the first of them.
+    jobs.run_silver(spark, replace(ctx, as_of=ctx.as_of.replace(year=2025)))
+    assert {t: tuples(df) for t, df in snapshot.items()} == before[0]
+    assert published(spark, ctx) != version
+    jobs.run_silver(spark, ctx)
+    assert len(list(Path(ctx.silver_folder("")).iterdir())) == 2
+
+
+def test_a_driver_lost_in_the_switch_is_recovered(spark, ctx):
+    land(spark, ctx)
+    jobs.run_medallion(spark, ctx)
+    after = all_rows(spark, ctx)[0]
+    old = replace(ctx, as_of=ctx.as_of.replace(year=2025))
+    jobs.run_silver(spark, old)
+    props = tables.database_properties(spark, ctx.database)
+    # As left by a driver that had moved one table of the version before when it was lost.
+    tables._set_properties(spark, ctx.database, moving=props[tables.PREVIOUS])
+    path = tables.version_path(ctx, props[tables.PREVIOUS], "fact_billing")
+    spark.sql(f"ALTER TABLE {ctx.silver_table('fact_billing')} SET LOCATION '{path}'")
+    tables.recover_silver(spark, ctx)
+    assert all_rows(spark, ctx)[0] == after
+    assert tables.database_properties(spark, ctx.database)[tables.MOVING] == ""
+
+
+def test_layers_run_alone_are_in_the_audit_in_order(spark, ctx):
+    land(spark, ctx)
+    jobs.run_raw(spark, ctx)
+    jobs.run_silver(spark, ctx)
+    health = audit.audit_run_health(spark.table(ctx.audit_table))
+    assert {r.state for r in health.collect()} == {"INCOMPLETE"} and not health.filter("healthy").count()
+    first = audit.audit_recent(spark.table(ctx.audit_table)).first()
+    assert (first.layer, first.source) == ("reject", "Hospital")
+
+
+def test_content_notices_what_totals_do_not(spark, ctx):
+    land(spark, ctx)
+    jobs.run_medallion(spark, ctx)
+    silver = tables.silver_snapshot(spark, ctx)
+    rebuilt = {m: marts.build_mart(m, silver.__getitem__, ctx.report_month) for m in GOLD}
+    gold = dict(tables.external_gold_tables(spark, ctx))
+    assert audit.content_reconciliation(rebuilt, gold).filter("NOT matches").isEmpty()
+    mart, amount = "gold_finance_weekly", F.col("total_billed_amount")
+    low, high = gold[mart].agg(F.min(amount), F.max(amount)).first()
+    gold[mart] = gold[mart].withColumn("total_billed_amount", F.when(amount == low, high).otherwise(low))
+    assert audit.layer_reconciliation(silver.__getitem__, gold).filter("NOT matches").isEmpty()
+    assert tuples(audit.content_reconciliation(rebuilt, gold).filter("NOT matches")) == {(mart, "total_billed_amount", False)}
+    # A mart stored twice cancels out in the xor, and one that is gone has no checksum.
+    twice = {**gold, mart: rebuilt[mart], "gold_patient_status": gold["gold_patient_status"].union(gold["gold_patient_status"])}
+    gone = {**gold, mart: rebuilt[mart], "gold_patient_status": gold["gold_patient_status"].limit(0)}
+    for wrong in (twice, gone):
+        found = audit.content_reconciliation(rebuilt, wrong).filter("NOT matches")
+        assert tuples(found) == {("gold_patient_status", "patient_count", False)}
 
 
 def test_empty_extract(spark, ctx):
@@ -139,7 +249,8 @@ def test_views_and_measures_keep_months_apart(spark, ctx):
         (kpis.kpi_finance_totals, "gold_finance_weekly"), (kpis.kpi_leakage_by_insurer, "gold_finance_weekly"),
         (kpis.kpi_claim_distribution, "gold_claim_status_summary"),
         (kpis.kpi_units_by_device_type, "gold_device_availability"),
-        (kpis.kpi_utilization_matrix, "gold_device_availability"),
+        (kpis.kpi_utilization_bands, "gold_device_availability"),
+        (lambda mart: kpis.matrix_text(kpis.kpi_utilization_matrix(mart)), "gold_device_availability"),
     ):
         single = measure(month[mart])
         whole = measure(both[mart])

@@ -133,10 +133,23 @@ def test_an_unlisted_device_type_is_not_left_out(spark):
     cells = spark.createDataFrame(
         [("H1", "Monitor", 50.0), ("H1", "New", 99.0)], "hospital_id string, device_type string, utilization_pct double"
     )
-    assert kpis.kpi_utilization_matrix(cells).columns == ["hospital_id", "Monitor", "New"]
-    assert kpis.kpi_utilization_matrix(cells, ["Monitor", "New"]).count() == 1
-    with pytest.raises(Exception, match="device type"):
-        kpis.kpi_utilization_matrix(cells, ["Monitor"]).collect()
+    assert kpis.kpi_utilization_matrix(cells).columns == ["hospital_id", "utilization"]
+    assert kpis.kpi_utilization_matrix(cells).first().utilization == {"Monitor": 50.0, "New": 99.0}
+
+
+def test_the_matrix_needs_no_job_and_takes_missing_types(spark):
+    rows = [("H1", None, 12.0625), ("H1", "Monitor", None), ("H2", "Monitor", 0.0005)]
+    cells = spark.createDataFrame(rows, "hospital_id string, device_type string, utilization_pct double")
+    spark.sparkContext.setJobGroup("matrix", "matrix")
+    try:
+        matrix = kpis.kpi_utilization_matrix(cells)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("matrix")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.hospital_id: r.utilization for r in matrix.collect()} == {
+        "H1": {kpis.NO_TYPE: 12.0625, "Monitor": None}, "H2": {"Monitor": 0.0005}
+    }
+    assert tuples(kpis.matrix_text(matrix)) == {("H1", f"{kpis.NO_TYPE},Monitor", "12.063,-"), ("H2", "Monitor", "0.001")}
 
 
 def test_manifest_lists_every_expected_file(spark, ctx):
@@ -228,4 +241,41 @@ def test_single_file_is_an_option(spark, tmp_path):
 def test_preview_and_counts(spark):
     df = spark.range(10).withColumn("k", -F.col("id"))
     assert [r.id for r in tables.preview(df, 3, "k").collect()] == [9, 8, 7]
-    assert tuples(tables.row_counts({"a": df, "b": df.limit(0)})) == {("a", 10), ("b", 0)}
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    df = spark.range(10).withColumn("k", -F.col("id"))
+    paths = {"a": str(tmp_path / "a"), "b": str(tmp_path / "b")}
+    df.repartition(3).write.parquet(paths["a"])
+    df.limit(0).write.parquet(paths["b"])
+    counts = tables.row_counts(spark, paths, dict.fromkeys(paths, "id long, k long"))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert tuples(counts) == {("a", 10), ("b", 0)}
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 2 and "ReadSchema: struct<count(*)" in plan
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")  # the caller's session is as it was
+
+
+def bytes_read(spark, work):
+    def total():
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+    before = total()
+    work()
+    return total() - before
+
+
+def test_headers_are_read_without_the_files(spark, tmp_path):
+    header, line = ",".join(PHARMA.columns), "MED001,Aspa,Painkiller,H01,1,1,2026-01-01"
+    read = {}
+    for name, lines in (("small", 200_000), ("large", 2_000_000)):
+        folder = tmp_path / name
+        _write_csv(folder, "a.csv", header, *[line] * lines)
+        _write_csv(folder, "b.csv", header + ",extra", line)
+        report = landing.header_report(spark, str(folder), PHARMA)
+        found = []
+        read[name] = bytes_read(spark, lambda: found.append(tuples(report, "header", "passed")))
+        assert found == [{(header, True), (header + ",extra", False)}]
+    assert read["large"] < 2 * read["small"] + 1_000_000
+    assert read["large"] < (tmp_path / "large" / "a.csv").stat().st_size / 4
+    counts = landing.line_counts(spark, str(tmp_path / "small"))
+    assert {r.lines for r in counts.collect()} == {200_001, 2}

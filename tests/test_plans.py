@@ -1,10 +1,13 @@
 """Physical plans of the registered queries, as they would run on large tables."""
 
 import re
+from collections import Counter
 
 import pytest
 
-from wardlake.registry import QUERIES
+from wardlake.contracts import SOURCES
+from wardlake.operators import star
+from wardlake.registry import OPEN_RUNS, QUERIES, Bound
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,8 +18,8 @@ WRITING = {
     "gold_round_trip", "external_gold_scan", "raw_layer_counts", "silver_layer_counts",
     "gold_layer_counts", "audit_log", "audit_recent", "audit_by_layer", "audit_run_health",
     "layer_reconciliation", "header_contract_cases", "history_claim_views", "gold_row_counts",
-    "duplicate_keys", "vw_rejected_claims_ranking", "kpi_utilization_matrix", "raw_balance",
-    "preview_rejected_claims_ranking",
+    "vw_rejected_claims_ranking", "raw_balance", "preview_rejected_claims_ranking",
+    "silver_published_together", "content_reconciliation", "content_reconciliation_swapped",
 }
 
 
@@ -72,9 +75,48 @@ def test_only_small_results_pass_an_unpartitioned_window(large_plans):
         assert "HashAggregate" in below
 
 
-@pytest.mark.parametrize("name", ["gold_row_counts", "duplicate_keys", "vw_rejected_claims_ranking"])
-def test_counts_and_ranks_read_written_tables(spark, name):
-    """No source table is read again, let alone several times."""
+def physical(plan):
+    return plan[plan.index("== Physical Plan"):]
+
+
+def scans_of(plan):
+    """How often each table is scanned, by file name."""
+    return Counter(re.findall(rf"{SF}/(\w+)\.parquet", physical(plan)))
+
+
+def scans_of_sources(spark):
+    """The same for a query that does nothing but read the three sources."""
+    bound = Bound(spark, SF)
+    return sum((scans_of(bound.source(s)._jdf.queryExecution().toString()) for s in SOURCES.values()), Counter())
+
+
+def test_all_keys_are_checked_by_one_read_of_each_source(spark):
+    """The whole job: the query writes nothing and runs nothing before its own plan."""
+    runs = len(OPEN_RUNS)
+    plan = plan_of(spark, "duplicate_keys")
+    assert len(OPEN_RUNS) == runs and scans_of(plan) == scans_of_sources(spark)
+
+
+def test_hospital_dimensions_take_one_scan_and_one_exchange(spark, tmp_path):
+    path = str(tmp_path / "clean")
+    Bound(spark, SF).clean("Hospital").write.parquet(path)
+    plan = physical(star.hospital_dimensions(spark.read.parquet(path))._jdf.queryExecution().toString())
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange") == 1
+
+
+def test_counts_of_a_run_are_pushed_into_the_footers(spark):
+    plan = physical(plan_of(spark, "gold_row_counts"))
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 10
+    assert f"{SF}/" not in plan
+
+
+@pytest.mark.parametrize("name", ["audit_log", "audit_by_layer", "audit_run_health", "gold_layer_counts", "layer_reconciliation"])
+def test_queries_over_a_run_share_it(spark, name):
+    QUERIES["audit_log"](spark, SF)
+    runs = len(OPEN_RUNS)
     plan = plan_of(spark, name)
-    physical = plan[plan.index("== Physical Plan"):]
-    assert f"{SF}/" not in physical
+    assert len(OPEN_RUNS) == runs and f"{SF}/" not in physical(plan)
+
+
+def test_ranks_read_written_tables(spark):
+    assert f"{SF}/" not in physical(plan_of(spark, "vw_rejected_claims_ranking"))

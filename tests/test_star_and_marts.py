@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import AS_OF
 from tests.data import text_frame, tuples
-from wardlake.contracts import GOLD, SILVER
+from wardlake.contracts import GOLD, HOSPITAL_DIMENSIONS, SILVER
 from wardlake.functions.scalars import percentage, week_number
 from wardlake.operators import cleanse, star
 from wardlake.plans import kpis, marts, views
@@ -119,10 +119,22 @@ def test_device_availability_and_status(gold):
 
 
 def test_utilization_matrix(gold):
-    named = kpis.kpi_utilization_matrix(gold["gold_device_availability"], ["Monitor", "Ventilator"])
     found = kpis.kpi_utilization_matrix(gold["gold_device_availability"])
-    expected = {("H01", 70.0, 90.0), ("H02", 12.5, 50.0), ("H03", 91.0, None)}
-    assert tuples(named) == tuples(found) == expected
+    assert {r.hospital_id: r.utilization for r in found.collect()} == {
+        "H01": {"Monitor": 70.0, "Ventilator": 90.0}, "H02": {"Monitor": 12.5, "Ventilator": 50.0},
+        "H03": {"Monitor": 91.0, "Ventilator": None},
+    }
+
+
+def test_hospital_dimensions_in_one_pass(spark, clean, silver):
+    rows = clean["Hospital"]
+    tagged = star.hospital_dimensions(rows)
+    for name in HOSPITAL_DIMENSIONS:
+        assert tuples(tagged.filter(F.col("dimension") == name), *SILVER[name]) == tuples(silver(name))
+        others = [c for c in tagged.columns if c not in {"dimension", *SILVER[name]}]
+        assert tagged.filter(F.col("dimension") == name).select(*others).dropna("all").isEmpty()
+    assert tagged.count() == sum(silver(name).count() for name in HOSPITAL_DIMENSIONS)
+    assert {r.dimension for r in star.hospital_dimensions(rows.limit(0)).collect()} == set()
 
 
 def test_stock_alert_and_categories(silver, gold):

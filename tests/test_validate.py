@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import AS_OF
 from tests.data import CONTRACTS, HOSPITAL_ROWS, changed, text_frame, tuples
@@ -68,15 +69,30 @@ def test_malformed_text_raises_nowhere(spark):
 def test_key_uniqueness(spark):
     df = text_frame(spark, "Hospital", [*HOSPITAL_ROWS, HOSPITAL_ROWS[0], HOSPITAL_ROWS[0]])
     assert tuples(v.duplicate_keys(df, ["event_id"])) == {("T1", 3)}
-    assert tuples(v.key_uniqueness(df, "Hospital", ["event_id"])) == {
-        ("Hospital", "event_id", 1, 2)
-    }
-    unique = text_frame(spark, "Device")
-    assert tuples(v.key_uniqueness(unique, "Device", DEVICE.key)) == {
-        ("Device", "hospital_id,device_id,week", 0, 0)
+    unique, empty = text_frame(spark, "Device"), text_frame(spark, "Pharma", [])
+    kept = F.col("patient_gender").isin("M", "F", "O")
+    report = v.key_uniqueness([
+        (df, [
+            v.KeyRule("Hospital", ("event_id",)),
+            v.KeyRule("dim_doctor", ("doctor_id",), (F.col("department"), F.col("hospital_id")), kept),
+            v.KeyRule("no rows", ("event_id",), None, F.lit(False)),
+        ]),
+        (unique, [v.KeyRule("Device", DEVICE.key)]),
+        (empty, [v.KeyRule("Pharma", ("hospital_id", "medicine_id"))]),
+    ])
+    assert tuples(report) == {
+        # D1 works in two departments; the copies of T1 are one tuple.
+        ("Hospital", "event_id", 1, 2), ("dim_doctor", "doctor_id", 1, 1), ("no rows", "event_id", 0, 0),
+        ("Device", "hospital_id,device_id,week", 0, 0), ("Pharma", "hospital_id,medicine_id", 0, 0),
     }
 
 
+def test_null_keys_are_one_key(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "a"), (None, None), ("x", "a")], "k string, o string")
+    report = v.key_uniqueness([(df, [v.KeyRule("rows", ("k",)), v.KeyRule("tuples", ("k",), (F.col("o"),))])])
+    assert tuples(report) == {("rows", "k", 1, 2), ("tuples", "k", 1, 1)}
+
+
 def test_column_contract():
     expected = DEVICE.landing_columns
     v.check_columns(expected, expected)

@@ -22,6 +22,8 @@ class RunContext:
     shuffle of each when it is written, and none when the finance mart joins them.
     Ids must then be unique, as the source's key promises, and the run fails where
     they are not; without buckets a repeated id is no problem.
+
+    ``run_seq`` is the run's number in the audit table; a run takes the next one when it starts.
     """
 
     input_date: str
@@ -35,6 +37,7 @@ class RunContext:
     audit_database: str = "audit"
     history: bool = False
     fact_buckets: int | None = None
+    run_seq: int | None = None
 
     @property
     def report_period(self) -> date:
@@ -72,6 +75,10 @@ class RunContext:
         """Rows that silver's rules drop, kept per run with the rules they break."""
         return f"{self.base_path}/silver_reject/{source}/{self.run_id}"
 
+    def silver_folder(self, version: str) -> str:
+        """The files of all silver tables of one version."""
+        return f"{self.base_path}/silver/{version}"
+
     def gold_path(self, mart: str) -> str:
         return f"{self.base_path}/gold/Gold_Data/{mart}"
 

@@ -161,13 +161,17 @@ GOLD: dict[str, dict[str, str]] = {
     },
 }
 
-# record_count is BIGINT: a fact of a large run has more rows than an INT can hold.
+# record_count is BIGINT: a fact of a large run has more rows than an INT can hold. load_time is a
+# day, so the last two columns order the rows: the run's number in this table, and the step in the run.
 AUDIT: dict[str, str] = {
     "pipeline_name": "string", "notebook_name": "string", "run_id": "string",
     "source": "string", "layer": "string", "record_count": "bigint", "load_time": "date",
-    "status": "string", "report_month": "string",
+    "status": "string", "report_month": "string", "run_seq": "bigint", "step": "int",
 }
 
+# The hospital dimensions share one pass over the cleansed rows.
+HOSPITAL_DIMENSIONS = ("dim_insurance", "dim_patient", "dim_doctor", "dim_bed")
+
 
 def ddl(contract: Mapping[str, str]) -> str:
     return ", ".join(f"{name} {type_}" for name, type_ in contract.items())

@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlake.context import RunContext
-from wardlake.contracts import APPROVED, REJECTED
+from wardlake.contracts import APPROVED, GOLD, REJECTED
 
 SUCCESS, RUNNING = "Success", "RUNNING"
+FAILED = "FAILED: "
+
+# The order of a run's steps, by the layer of their rows.
+STEPS = {"Init": 0, "raw": 1, "silver": 2, "reject": 3, "gold": 4, "Any": 5}
+LAYERS = ("raw", "silver", "gold")
 
 
 def audit_row(
@@ -18,7 +23,7 @@ def audit_row(
 ) -> tuple:
     return (
         ctx.pipeline_name, notebook, ctx.run_id, source, layer, count, ctx.run_date, status,
-        ctx.report_month,
+        ctx.report_month, ctx.run_seq, STEPS[layer],
     )
 
 
@@ -27,12 +32,17 @@ def start_row(ctx: RunContext) -> tuple:
 
 
 def fail_row(ctx: RunContext, message: str) -> tuple:
-    return audit_row(ctx, "Pipeline_Fail", "ALL", "Any", 0, f"FAILED: {message}")
+    return audit_row(ctx, "Pipeline_Fail", "ALL", "Any", 0, f"{FAILED}{message}")
+
+
+def newest_first() -> list[Column]:
+    """A total order of audit rows: days, then runs, then a run's steps, all newest first, then sources."""
+    return [F.desc("load_time"), F.desc("run_seq"), F.desc("run_id"), F.desc("step"), F.asc("source")]
 
 
 def audit_recent(audit: DataFrame) -> DataFrame:
-    """Newest day first; ``load_time`` is a DATE, so the order within a day is open."""
-    return audit.orderBy(F.desc("load_time"))
+    """Newest first."""
+    return audit.orderBy(*newest_first())
 
 
 def audit_by(audit: DataFrame, **equals: str) -> DataFrame:
@@ -53,13 +63,84 @@ def raw_balance(audit: DataFrame) -> DataFrame:
 
 
 def audit_run_health(audit: DataFrame, min_success: int = 10) -> DataFrame:
+    """What became of every run: its state, the last step it wrote, and whether all is well.
+
+    A run is FAILED if it says so, COMPLETE if all layers have rows, STARTED with nothing but its
+    marker, and INCOMPLETE otherwise: it is still at work, or its driver is gone.
+    """
     successes = F.count_if(F.col("status") == SUCCESS)
-    return audit.groupBy("run_id").agg(
-        successes.alias("success_rows"),
-        (successes >= min_success).alias("healthy"),
+    layers = F.count_distinct(F.when(F.col("layer").isin(*LAYERS) & (F.col("status") == SUCCESS), F.col("layer")))
+    state = (
+        F.when(F.bool_or(F.col("status").startswith(FAILED)), "FAILED")
+        .when(layers == len(LAYERS), "COMPLETE")
+        .when(layers == 0, "STARTED")
+        .otherwise("INCOMPLETE")
+    )
+    return (
+        audit.groupBy("run_seq", "run_id")
+        .agg(state.alias("state"), F.max_by("layer", "step").alias("last_layer"), successes.alias("success_rows"))
+        .withColumn("healthy", (F.col("state") == "COMPLETE") & (F.col("success_rows") >= min_success))
     )
 
 
+# What identifies a row of a mart; all other columns but the period are its measures.
+MART_KEYS = {
+    "gold_medicine_availability": ("hospital_id", "medicine_name", "category", "expiry_date"),
+    "gold_device_availability": ("hospital_id", "device_type"),
+    "gold_finance_weekly": ("week_start_date", "insurance_id", "insurance_name"),
+    "gold_weekly_admissions": ("week_start_date",),
+    "gold_claim_status_summary": ("insurance_name", "claim_status"),
+    "gold_rejected_claims": ("insurance_name",),
+    "gold_patient_status": ("patient_status",),
+}
+
+
+def measures(mart: str) -> list[str]:
+    return [c for c in GOLD[mart] if c not in MART_KEYS[mart] and c != "report_month"]
+
+
+def content_checksums(df: DataFrame, mart: str, side: str) -> DataFrame:
+    """Per measure of a mart, checksums that do not depend on the rows' order.
+
+    A value is hashed with its row's key, so values that changed places show; the sum notices rows that are
+    there twice, which cancel out in the xor.
+    """
+    found = []
+    for column in measures(mart):
+        mark = F.xxhash64(*MART_KEYS[mart], column)
+        found.append(F.struct(
+            F.lit(column).alias("column"), F.sum(mark.cast("decimal(38,0)")).alias("total"), F.bit_xor(mark).alias("mixed"),
+        ))
+    return df.agg(F.array(*found).alias("sums")).select(F.lit(mart).alias("mart"), F.lit(side).alias("side"), F.inline("sums"))
+
+
+def content_reconciliation(
+    rebuilt: Mapping[str, DataFrame], gold: Mapping[str, DataFrame], ctx: RunContext | None = None
+) -> DataFrame:
+    """``(mart, differs, matches)``: the measures in which a stored mart is not what silver gives."""
+    gold = _this_period(gold, ctx)
+    sides = [content_checksums(df, mart, side) for side, marts in (("silver", rebuilt), ("gold", gold)) for mart, df in marts.items()]
+    is_silver = F.col("side") == "silver"
+    pair = {
+        side: F.max(F.when(is_silver if side == "silver" else ~is_silver, F.struct("total", "mixed"))) for side in ("silver", "gold")
+    }
+    per_column = reduce(DataFrame.unionByName, sides).groupBy("mart", "column").agg(*[c.alias(side) for side, c in pair.items()])
+    wrong = F.when(~F.col("silver").eqNullSafe(F.col("gold")), F.col("column"))
+    return (
+        per_column.groupBy("mart")
+        .agg(F.array_join(F.sort_array(F.collect_list(wrong)), ",").alias("differs"))
+        .withColumn("matches", F.col("differs") == "")
+    )
+
+
+def _this_period(gold: Mapping[str, DataFrame], ctx: RunContext | None) -> Mapping[str, DataFrame]:
+    """Silver holds one run, so of marts with history only the run's period is compared with it."""
+    if not (ctx and ctx.history):
+        return gold
+    this = (F.col("report_year") == ctx.report_year) & (F.col("report_month") == ctx.report_month)
+    return {mart: df.filter(this) for mart, df in gold.items()}
+
+
 def layer_reconciliation(
     silver: Callable[[str], DataFrame], gold: Mapping[str, DataFrame], ctx: RunContext | None = None
 ) -> DataFrame:
@@ -67,9 +148,7 @@ def layer_reconciliation(
 
     Silver holds one run; of marts with history only the period of ``ctx`` is compared with it.
     """
-    if ctx and ctx.history:
-        this = (F.col("report_year") == ctx.report_year) & (F.col("report_month") == ctx.report_month)
-        gold = {mart: df.filter(this) for mart, df in gold.items()}
+    gold = _this_period(gold, ctx)
     billing, admission = silver("fact_billing"), silver("fact_admission")
     status = F.col("claim_status")
     pairs = {

@@ -111,8 +111,12 @@ def rejected_rows(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     )
 
 
+def all_hold(rules: dict[str, Column]) -> Column:
+    return reduce(lambda a, b: a & b, rules.values())
+
+
 def _keep(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    return df.filter(reduce(lambda a, b: a & b, rules.values()))
+    return df.filter(all_hold(rules))
 
 
 def _holds(rule: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wardlake.contracts import SILVER, conform
+from wardlake.contracts import HOSPITAL_DIMENSIONS, SILVER, conform
 
 
 def _dimension(df: DataFrame, name: str) -> DataFrame:
@@ -40,6 +40,23 @@ def dim_bed(clean_hospital: DataFrame) -> DataFrame:
     return _dimension(clean_hospital, "dim_bed")
 
 
+def hospital_dimensions(clean_hospital: DataFrame) -> DataFrame:
+    """The tuples of all four hospital dimensions, told apart by ``dimension``, in one pass.
+
+    A row becomes one tagged tuple per dimension, with NULL in the columns of the others, and one
+    ``distinct`` serves all of them. Written by ``dimension``, each partition holds a whole table.
+    """
+    types = {c: t for name in HOSPITAL_DIMENSIONS for c, t in SILVER[name].items()}
+    tuples = [
+        F.struct(
+            F.lit(name).alias("dimension"),
+            *[(F.col(c) if c in SILVER[name] else F.lit(None)).cast(t).alias(c) for c, t in types.items()],
+        )
+        for name in HOSPITAL_DIMENSIONS
+    ]
+    return clean_hospital.select(F.inline(F.array(*tuples))).distinct()
+
+
 def fact_medicine_inventory(valid_pharma: DataFrame) -> DataFrame:
     return conform(
         valid_pharma.withColumn("available_stock", F.col("total_stock") - F.col("issued_stock")),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -133,13 +134,58 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("row_count")).filter(F.col("row_count") > 1)
 
 
-def key_uniqueness(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
-    """``(name, key, duplicate_keys, surplus_rows)`` of one table."""
-    return duplicate_keys(df, keys).agg(
-        F.lit(name).alias("name"),
-        F.lit(",".join(keys)).alias("key"),
-        F.count("*").alias("duplicate_keys"),
-        F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).alias("surplus_rows"),
+@dataclass(frozen=True)
+class KeyRule:
+    """A key that should be unique among the rows of a source for which ``applies`` holds.
+
+    With ``others`` it should be unique among the distinct tuples of the key and these columns, which
+    is how a dimension of those columns is made.
+    """
+
+    name: str
+    key: tuple[str, ...]
+    others: tuple[Column, ...] | None = None
+    applies: Column | None = None
+
+
+def tagged_keys(df: DataFrame, rules: Sequence[KeyRule]) -> DataFrame:
+    """Every row as one ``(name, key, others)`` for each rule that applies to it."""
+
+    def texts(columns: Sequence[str | Column]) -> Column:
+        return F.array(*[(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns])
+
+    tags = []
+    for rule in rules:
+        others = F.lit(None).cast("array<string>") if rule.others is None else texts(rule.others)
+        tag = F.struct(F.lit(rule.name).alias("name"), texts(rule.key).alias("key"), others.alias("others"))
+        tags.append(tag if rule.applies is None else F.when(rule.applies, tag))
+    return df.select(F.inline(F.filter(F.array(*tags), lambda tag: tag.isNotNull())))
+
+
+def key_uniqueness(sources: Sequence[tuple[DataFrame, Sequence[KeyRule]]]) -> DataFrame:
+    """``(name, key, duplicate_keys, surplus_rows)`` of all rules; every source is read once.
+
+    Rows are folded to tuples with their counts, tuples to keys, and keys to counts of counts; a hot
+    key is folded before each shuffle.
+    """
+    rules = [rule for _, some in sources for rule in some]
+    tagged = reduce(DataFrame.unionByName, [tagged_keys(df, some) for df, some in sources])
+    tuples = tagged.groupBy("name", "key", "others").agg(F.count("*").alias("n"))
+    per_key = tuples.groupBy("name", "key").agg(
+        F.sum(F.when(F.col("others").isNull(), F.col("n")).otherwise(F.lit(1).cast("long"))).alias("row_count")
+    )
+    repeated = F.col("row_count") > 1
+    found = per_key.groupBy("name").agg(
+        F.count_if(repeated).alias("duplicate_keys"), F.sum(F.col("row_count") - 1).alias("surplus_rows")
+    )
+    # A table without rows has its row, too.
+    none = tagged.sparkSession.createDataFrame([(r.name, 0, 0) for r in rules], "name string, duplicate_keys long, surplus_rows long")
+    keys = F.create_map(*[F.lit(text) for r in rules for text in (r.name, ",".join(r.key))])
+    return (
+        found.unionByName(none)
+        .groupBy("name")
+        .agg(F.sum("duplicate_keys").alias("duplicate_keys"), F.sum("surplus_rows").alias("surplus_rows"))
+        .select("name", keys[F.col("name")].alias("key"), "duplicate_keys", "surplus_rows")
     )
 
 

@@ -360,7 +360,8 @@ def _audit(layers: dict[str, tuple[str, str]]) -> str:
     return f"""WITH {_ALL}, audit_rows AS ({rows})
       SELECT 'healthcare_ingest' AS pipeline_name, notebook_name, 'bound-run' AS run_id, source,
              layer, record_count, DATE '2026-02-01' AS load_time, status,
-             'January' AS report_month
+             'January' AS report_month, CAST(1 AS BIGINT) AS run_seq,
+             CASE layer WHEN 'raw' THEN 1 WHEN 'silver' THEN 2 WHEN 'reject' THEN 3 ELSE 4 END AS step
       FROM audit_rows"""
 
 
@@ -374,7 +375,7 @@ _AUDIT_LOG = f"""
   SELECT * FROM ({_audit(_LAYERS)})
   UNION ALL
   SELECT 'healthcare_ingest', 'Pipeline_Start', 'bound-run', 'ALL', 'Init', 0, DATE '2026-02-01',
-         'RUNNING', 'January'"""
+         'RUNNING', 'January', 1, 0"""
 
 ORACLES: dict[str, str] = {
     # Scans and sinks
@@ -419,6 +420,27 @@ ORACLES: dict[str, str] = {
              report_month, CAST(2026 AS INTEGER) AS report_year, rejected_claim_count, rejection_rank
       FROM totals LEFT JOIN ranked USING (insurance_name) CROSS JOIN months""",
     "silver_replace_idempotent": f"WITH {_CLEAN} {_BILLING}",
+    "silver_published_together": f"""
+      WITH {_ALL}
+      SELECT 'dim_medicine' AS table_name, COUNT(*) AS row_count FROM (SELECT DISTINCT medicine_id, medicine_name, category FROM valid)
+      UNION ALL SELECT 'dim_device', COUNT(*) FROM (SELECT DISTINCT device_id, device_type, hospital_id FROM device)
+      UNION ALL SELECT 'dim_insurance', COUNT(*) FROM (SELECT DISTINCT insurance_id, insurance_name FROM clean)
+      UNION ALL SELECT 'dim_patient', COUNT(*) FROM (SELECT DISTINCT patient_id, patient_gender, patient_dob, insurance_id FROM clean)
+      UNION ALL SELECT 'dim_doctor', COUNT(*) FROM (SELECT DISTINCT doctor_id, department, hospital_id FROM clean)
+      UNION ALL SELECT 'dim_bed', COUNT(*) FROM (SELECT DISTINCT bed_id, bed_type, hospital_id FROM clean)
+      UNION ALL SELECT 'fact_medicine_inventory', COUNT(*) FROM valid
+      UNION ALL SELECT 'fact_device_usage', COUNT(*) FROM device
+      UNION ALL SELECT 'fact_admission', COUNT(*) FROM clean
+      UNION ALL SELECT 'fact_billing', COUNT(*) FROM clean""",
+    "hospital_dimensions": f"""
+      WITH {_CLEAN}
+      SELECT DISTINCT 'dim_insurance' AS dimension, insurance_id, insurance_name, NULL::VARCHAR AS patient_id,
+             NULL::VARCHAR AS patient_gender, NULL::DATE AS patient_dob, NULL::VARCHAR AS doctor_id, NULL::VARCHAR AS department,
+             NULL::VARCHAR AS hospital_id, NULL::VARCHAR AS bed_id, NULL::VARCHAR AS bed_type FROM clean
+      UNION ALL SELECT DISTINCT 'dim_patient', insurance_id, NULL, patient_id, patient_gender, patient_dob, NULL, NULL, NULL, NULL, NULL
+        FROM clean
+      UNION ALL SELECT DISTINCT 'dim_doctor', NULL, NULL, NULL, NULL, NULL, doctor_id, department, hospital_id, NULL, NULL FROM clean
+      UNION ALL SELECT DISTINCT 'dim_bed', NULL, NULL, NULL, NULL, NULL, NULL, NULL, hospital_id, bed_id, bed_type FROM clean""",
     "gold_round_trip": f"WITH {_CLAIMS} SELECT * FROM gold_claim_status_summary",
     "external_gold_scan": f"WITH {_FINANCE} SELECT * FROM gold_finance_weekly",
     "gold_row_counts": f"""
@@ -592,8 +614,10 @@ ORACLES: dict[str, str] = {
       FROM counts""",
     "kpi_utilization_matrix": f"""
       WITH {_DEVICES}
-      SELECT * FROM (PIVOT (SELECT hospital_id, device_type, utilization_pct FROM gold_device_availability)
-                     ON device_type USING MAX(utilization_pct) GROUP BY hospital_id)""",
+      SELECT hospital_id, string_agg(device_type, ',' ORDER BY device_type) AS device_types,
+             string_agg(coalesce(CAST(CAST(utilization_pct AS DECIMAL(18, 3)) AS VARCHAR), '-'), ',' ORDER BY device_type)
+               AS utilization_pcts
+      FROM gold_device_availability GROUP BY hospital_id""",
     "kpi_utilization_bands": f"""
       WITH {_DEVICES}
       SELECT hospital_id, device_type, utilization_pct,
@@ -618,12 +642,16 @@ ORACLES: dict[str, str] = {
     "silver_layer_counts": f"WITH {_ALL} {_SILVER_COUNTS}",
     "gold_layer_counts": f"WITH {_ALL} {_GOLD_COUNTS}",
     "audit_log": _AUDIT_LOG,
-    "audit_recent": _AUDIT_LOG,
+    "audit_recent": f"""
+      SELECT *, CAST(row_number() OVER (ORDER BY load_time DESC, run_seq DESC, run_id DESC, step DESC, source) AS INTEGER) AS place
+      FROM ({_AUDIT_LOG})""",
     "audit_by_layer": _audit({"gold": _LAYERS["gold"]}),
     "audit_run_health": f"""
-      SELECT run_id, COUNT(*) FILTER (WHERE status = 'Success') AS success_rows,
+      SELECT CAST(1 AS BIGINT) AS run_seq, 'bound-run' AS run_id, 'COMPLETE' AS state, 'gold' AS last_layer,
+             COUNT(*) FILTER (WHERE status = 'Success') AS success_rows,
              COUNT(*) FILTER (WHERE status = 'Success') >= 10 AS healthy
-      FROM ({_AUDIT_LOG}) GROUP BY run_id""",
+      FROM ({_AUDIT_LOG})
+      UNION ALL SELECT 2, 'stopped-run', 'FAILED', 'Any', 0, FALSE""",
     "raw_balance": f"""
       WITH {_ALL}, r AS ({_RAW_COUNTS}), s AS ({_SILVER_COUNTS})
       SELECT 'bound-run' AS run_id, source, r.record_count AS raw_rows, s.record_count AS clean_rows,
@@ -653,6 +681,16 @@ ORACLES: dict[str, str] = {
 }
 
 
+ORACLES["content_reconciliation"] = f"""
+  SELECT mart, '' AS differs, TRUE AS matches FROM ({ORACLES['layer_reconciliation']})"""
+ORACLES["content_reconciliation_swapped"] = f"""
+  WITH {_FINANCE}, ends AS (SELECT MIN(total_billed_amount) < MAX(total_billed_amount) AS moved FROM gold_finance_weekly),
+  found AS (
+    SELECT mart, CASE WHEN mart = 'gold_finance_weekly' AND (SELECT moved FROM ends) THEN 'total_billed_amount' ELSE '' END AS differs
+    FROM ({ORACLES['layer_reconciliation']}))
+  SELECT mart, differs, differs = '' AS matches FROM found"""
+
+
 def _first_five(sql: str, order: str) -> str:
     keys = ", ".join(f"{key} NULLS FIRST" for key in order.split(", "))
     return f"SELECT * FROM ({sql}) ORDER BY {keys} LIMIT 5"

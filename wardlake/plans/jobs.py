@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -21,6 +22,7 @@ from wardlake.contracts import (
     DEVICE,
     GOLD,
     HOSPITAL,
+    HOSPITAL_DIMENSIONS,
     PHARMA,
     SILVER,
     SourceContract,
@@ -91,7 +93,9 @@ COUNTED = {
 
 
 def run_silver(spark: SparkSession, ctx: RunContext) -> None:
+    """Write a version of all ten tables, then publish them together; a failure before leaves the last one."""
     tables.create_silver(spark, ctx)
+    tables.recover_silver(spark, ctx)
     bronze = {s.name: tables.read_bronze(spark, ctx.bronze_path(s)) for s in ALL_SOURCES}
 
     # Written once and read by six tables, each with only its own columns.
@@ -103,20 +107,22 @@ def run_silver(spark: SparkSession, ctx: RunContext) -> None:
         "Pharma": cleanse.clean_pharma(bronze["Pharma"], ctx.as_of),
     }
 
-    def refresh(table: str) -> int:
-        build, source = star.TABLES[table]
-        if ctx.fact_buckets and table in BUCKET_KEYS:
-            require_unique(build(clean[source]), BUCKET_KEYS[table], table)
+    version = tables.new_version(ctx)
+    rules = {"Hospital": cleanse.hospital_rules(ctx.as_of), "Pharma": cleanse.pharma_rules(ctx.as_of)}
+
+    def table(name: str) -> int:
+        build, source = star.TABLES[name]
+        if ctx.fact_buckets and name in BUCKET_KEYS:
+            require_unique(build(clean[source]), BUCKET_KEYS[name], name)
         return _write_counted(
-            tables.silver_layout(build(clean[source]), table, ctx),
-            lambda out: tables.replace_table(out, ctx.silver_table(table), SILVER[table]),
-            f"{table}_{ctx.run_id}",
+            tables.silver_layout(build(clean[source]), name, ctx),
+            lambda out: tables.write_version(out, ctx, version, name),
+            f"{name}_{ctx.run_id}",
         )
 
-    rows = _concurrently(SILVER, refresh)
-    _audit(spark, ctx, "silver_nb", "silver", {s: rows[t] for s, t in COUNTED.items()})
-
-    rules = {"Hospital": cleanse.hospital_rules(ctx.as_of), "Pharma": cleanse.pharma_rules(ctx.as_of)}
+    def dimensions(_: str) -> int:
+        tables.write_dimensions(star.hospital_dimensions(clean["Hospital"]), ctx, version)
+        return 0
 
     def reject(name: str) -> int:
         return _write_counted(
@@ -125,7 +131,18 @@ def run_silver(spark: SparkSession, ctx: RunContext) -> None:
             f"rejected_{name}_{ctx.run_id}",
         )
 
-    _audit(spark, ctx, "silver_nb", "reject", _concurrently(rules, reject))
+    # Facts and rejects are the long writes, so they come first.
+    facts_first = sorted(set(SILVER) - set(HOSPITAL_DIMENSIONS), reverse=True)
+    work = {t: table for t in facts_first} | {"hospital_dimensions": dimensions} | {s: reject for s in rules}
+    try:
+        rows = _concurrently(work, lambda name: work[name](name))
+        tables.publish_silver(spark, ctx, version)
+    except Exception:
+        if tables.database_properties(spark, ctx.database)[tables.MOVING] != version:
+            tables.remove_folder(spark, ctx.silver_folder(version))
+        raise
+    _audit(spark, ctx, "silver_nb", "silver", {s: rows[t] for s, t in COUNTED.items()})
+    _audit(spark, ctx, "silver_nb", "reject", {s: rows[s] for s in rules})
 
 
 def require_unique(df: DataFrame, key: str, table: str) -> None:
@@ -138,8 +155,7 @@ def drop_run(spark: SparkSession, ctx: RunContext) -> None:
     """Remove a run's databases and everything below its folder."""
     for database in (ctx.database, ctx.gold_database, ctx.audit_database):
         spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
-    path = spark._jvm.org.apache.hadoop.fs.Path(ctx.base_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    tables.remove_folder(spark, ctx.base_path)
 
 
 def run_gold(spark: SparkSession, ctx: RunContext) -> None:
@@ -165,6 +181,7 @@ def run_medallion(
     spark: SparkSession, ctx: RunContext, sources: Iterable[SourceContract] = ALL_SOURCES
 ) -> None:
     """All layers in order; a failure is written to the audit table and raised again."""
+    ctx = replace(ctx, run_seq=tables.next_run_seq(spark, ctx))
     tables.append_audit(spark, ctx, [audit.start_row(ctx)])
     try:
         run_raw(spark, ctx, sources)
@@ -191,5 +208,7 @@ def _concurrently(names: Iterable[str], work: Callable[[str], T]) -> dict[str, T
 def _audit(
     spark: SparkSession, ctx: RunContext, notebook: str, layer: str, counts: Mapping[str, int]
 ) -> None:
+    if ctx.run_seq is None:  # a layer that is run by itself
+        ctx = replace(ctx, run_seq=tables.run_seq_of(spark, ctx))
     rows = [audit.audit_row(ctx, notebook, source, layer, n) for source, n in counts.items()]
     tables.append_audit(spark, ctx, rows)

@@ -6,7 +6,6 @@ marts of one period they have none of those.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -93,28 +92,32 @@ def utilization_band(pct: Column) -> Column:
     )
 
 
-def kpi_utilization_matrix(
-    device_availability: DataFrame, device_types: Sequence[str] | None = None
-) -> DataFrame:
-    """Hospital by device type, a column for every type there is.
+NO_TYPE = "(none)"  # the key of devices without a type: a map has no NULL key
 
-    Naming the types fixes the columns and saves a job; a type that is not named then fails the
-    query instead of being left out.
+
+def kpi_utilization_matrix(device_availability: DataFrame) -> DataFrame:
+    """Hospital by device type: ``utilization``, a map from every type there is to its percentage.
+
+    The keys are data, in order, so the schema is the same whatever types there are, and no job is
+    needed to learn them. A mart has a row per hospital and type.
     """
-    kind, message = F.col("device_type"), F.lit("a device type is not in the list of the matrix")
-    cells = device_availability
-    if device_types:
-        listed = F.when(kind.isin(*device_types), kind).otherwise(F.raise_error(message).cast("string"))
-        cells = cells.withColumn("device_type", listed)
-    groups = cells.groupBy("hospital_id", *_history(device_availability))
-    pivoted = (
-        groups.pivot("device_type", list(device_types)) if device_types else groups.pivot("device_type")
+    cell = F.struct(F.coalesce("device_type", F.lit(NO_TYPE)).alias("type"), F.col("utilization_pct").alias("pct"))
+    return device_availability.groupBy("hospital_id", *_history(device_availability)).agg(
+        F.map_from_entries(F.sort_array(F.collect_list(cell))).alias("utilization")
     )
-    return pivoted.agg(F.first("utilization_pct"))
+
+
+def matrix_text(matrix: DataFrame, digits: int = 3) -> DataFrame:
+    """The matrix with its types and rounded percentages as text, for sinks without maps."""
+    pct = F.transform(F.map_values("utilization"), lambda v: F.coalesce(v.cast(f"decimal(18,{digits})").cast("string"), F.lit("-")))
+    return matrix.withColumns({
+        "device_types": F.array_join(F.map_keys("utilization"), ","), "utilization_pcts": F.array_join(pct, ","),
+    }).drop("utilization")
 
 
 def kpi_utilization_bands(device_availability: DataFrame) -> DataFrame:
     return device_availability.select(
+        *_history(device_availability),
         "hospital_id",
         "device_type",
         "utilization_pct",

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardlake.contracts import BAD_RECORD, SourceContract
@@ -32,21 +33,42 @@ def write_landing_csv(df: DataFrame, path: str) -> None:
     text.write.options(**CSV_OPTIONS).mode("overwrite").csv(path)
 
 
-def landing_headers(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, header)``: the first line of every landing file, read as text by the executors."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), "value",
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-    )
-    return lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+# More than any landing file has, so that a file is one split, and a split one task.
+ONE_FILE = str(1 << 40)
+
+
+def landing_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``(file, header)``: the first line of every landing file.
+
+    A task opens one file and stops after the first batch of lines, so what is read does not grow with
+    the files. No built-in operator ends a scan within a file, hence the function over batches.
+    """
+    apart = spark.newSession()  # how files are dealt into tasks is set per session
+    apart.conf.set("spark.sql.files.maxPartitionBytes", ONE_FILE)
+    apart.conf.set("spark.sql.files.openCostInBytes", ONE_FILE)
+    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
 
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                yield batch.slice(0, 1)
+                return
 
-def header_report(spark: SparkSession, path: str, contract: SourceContract) -> DataFrame:
+    lines = apart.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"))
+    return lines.mapInArrow(first_line, "file string, header string")
+
+
+def header_report(spark: SparkSession, path: str | Sequence[str], contract: SourceContract) -> DataFrame:
     """``(file, header, passed)`` for every landing file, whatever columns anyone reads."""
     expected = ",".join(contract.columns)
     return landing_headers(spark, path).withColumn("passed", F.col("header") == expected)
 
 
+def line_counts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``(file, lines)`` of every landing file; all lines but the header are records."""
+    return spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("lines"))
+
+
 def landing_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of the first file, ``file_path`` appended as in the contract."""
     return [*spark.read.options(**CSV_OPTIONS).csv(path).columns, "file_path"]
