@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 from wardlake.llm.common import id_and_text
 
 MARKER = "▁"
-CACHE_WORDS = 200_000
+CACHE_BYTES = 32_000_000  # of what a worker remembers, by the bytes its entries take
+ENTRY = 160  # bytes of an entry besides its letters and ids
 ROWS = 512
 TOGETHER = 16  # words sent to the library in one text
 # Fixed values of the model format: kinds of pieces and of models.
@@ -170,6 +171,7 @@ class Codec:
             and self.model.escape_spaces and not self.model.remove_extra_spaces
         )
         self.known: dict[str, bytes] = {}
+        self.room = CACHE_BYTES
         self.differ: set[str] = set()  # words on which the libraries differ
         self.begins = np.array([p.startswith(MARKER) for p, _, _ in self.model.pieces])
         # What each id stands for, and which are single bytes.
@@ -217,7 +219,9 @@ class Codec:
         known = self.known
         split = [t.split(" ") if t and self._plain(t) else None for t in texts]
         new = self._words(list({w for row in split if row for w in row if w not in known}))
-        if len(known) + len(new) <= CACHE_WORDS:
+        size = sum(len(w) + len(ids) for w, ids in new.items()) + ENTRY * len(new)
+        if size <= self.room:
+            self.room -= size
             known.update(new)
             new = {}
         whole = dict(zip(odd := list({t for t, row in zip(texts, split) if row is None}), self._sent(odd)))
@@ -248,6 +252,8 @@ def codec(path: str) -> Codec:
 
 
 def encoder(path: str):
+    """(doc_id, text) to the ids; texts go to the worker and do not come back."""
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_work = codec(path)
         for batch in batches:
@@ -258,13 +264,13 @@ def encoder(path: str):
                 width = np.dtype(at_work.kind).itemsize
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(some.column(i) for i in range(some.num_columns)),
+                        some.column("doc_id"),
                         pa.array([len(ids) // width for ids, _ in found], pa.int64()),
                         pa.array([ids for ids, _ in found], pa.binary()),
                         pa.array([at_work.decode(ids) == t for (ids, _), t in zip(found, texts)], pa.bool_()),
                         pa.array([same for _, same in found], pa.bool_()),
                     ],
-                    names=[*some.schema.names, "n_ids", "ids", "round_trip", "parity"],
+                    names=["doc_id", "n_ids", "ids", "round_trip", "parity"],
                 )
 
     return encode
@@ -274,10 +280,7 @@ def sentencepiece_codec(docs: DataFrame, model_path: str, id_col: str = "doc_id"
     """doc_id, n_ids, ids (little-endian, 2 bytes each up to 65,536 pieces, else 4), whether they
     decode to the text, and whether the sentencepiece library gives the same ids."""
     rows = id_and_text(docs, id_col, text_col)
-    out = rows.mapInArrow(
-        encoder(model_path), "doc_id long, text string, n_ids long, ids binary, round_trip boolean, parity boolean"
-    )
-    return out.drop("text")
+    return rows.mapInArrow(encoder(model_path), "doc_id long, n_ids long, ids binary, round_trip boolean, parity boolean")
 
 
 def decode_ids(rows: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
