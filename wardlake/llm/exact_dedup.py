@@ -2,10 +2,11 @@
 
 A normalised text (A to Z lower-cased) is cut into blocks of ``BLOCK_BYTES``; every block gets an
 integer name, then every pair of adjacent names, and so on, until one name is left: the
-document's identity. Blocks are named by a salted 64-bit hash, and pairs by that of their
-two names. What makes the names collision-free is not the hash but the check that follows: the
-distinct blocks are sorted by name and content, as are the distinct pairs of every
-level, and a name with two contents sends the whole naming to its next salt. With a salt that
+document's identity. Names are integers of 128 bits, a salted hash of the block, or of the two names of a
+pair: ranks of sorted blocks would have to be carried back to every block by a second shuffle. What
+makes the names collision-free is not the hash but the check that follows: the distinct blocks are
+brought together by name, as are the distinct pairs of every level, and a name with two
+contents sends the whole naming to its next salt, which at 10^12 blocks has a chance of 10^-15. With a salt that
 passes, equal identities of equally long texts mean equal texts, and names depend on nothing
 but the texts and the salt.
 
@@ -20,7 +21,7 @@ NULL; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlake.llm.common import ascii_lower, id_and_text, written
 
@@ -43,17 +44,22 @@ def pairs_of(names: Column) -> Column:
     )
 
 
+def name_of(salt: int, level: int, data: Column) -> Column:
+    """128 bits for bytes of a level: 0 for blocks, then up."""
+    return F.unhex(F.md5(F.concat(F.lit(f"{salt}:{level}:").cast("binary"), data)))
+
+
 def name_of_pair(level: int, salt: int):
-    # The level, and whether there is a partner, are part of what is named.
-    return lambda p: F.xxhash64(F.lit(salt), F.lit(level), p["left"], p["right"].isNull(), p["right"])
+    # Names are equally long, so whether there is a partner is part of what is named.
+    return lambda p: name_of(salt, level + 1, F.concat(p["left"], F.coalesce(p["right"], F.lit(b""))))
 
 
 def named(docs: DataFrame, salt: int, levels: int) -> DataFrame:
     """doc_id, n_bytes, sha256, names of the blocks, pairs of each level, and the identity."""
     rows = docs.select("doc_id", F.encode(ascii_lower(F.col("text")), "UTF-8").alias("data"))
-    names = F.transform(blocks_of(F.col("data"), BLOCK_BYTES), lambda b: F.xxhash64(F.lit(salt), b))
+    names = F.transform(blocks_of(F.col("data"), BLOCK_BYTES), lambda b: name_of(salt, 0, b))
     rows = rows.select(
-        "doc_id", F.octet_length("data").alias("n_bytes"), F.sha2("data", 256).alias("text_sha256"), names.alias("names")
+        "doc_id", F.monotonically_increasing_id().alias("row"), F.octet_length("data").alias("n_bytes"), F.sha2("data", 256).alias("text_sha256"), names.alias("names")
     )
     return climbed(rows, salt, levels)
 
@@ -73,7 +79,7 @@ def same_name(docs: DataFrame, light: DataFrame, salt: int, levels: int) -> bool
     """Whether two different blocks, or two different pairs of a level, share a name."""
     data = F.encode(ascii_lower(F.col("text")), "UTF-8")
     block = docs.select(F.explode(blocks_of(data, BLOCK_BYTES)).alias("content"))
-    block = block.select(F.lit(-1).alias("level"), F.xxhash64(F.lit(salt), F.col("content")).alias("name"), "content")
+    block = block.select(F.lit(-1).alias("level"), name_of(salt, 0, F.col("content")).alias("name"), "content")
     clashes = block.distinct().groupBy("level", "name").count().where("count > 1").select("level")
     for level in range(levels):
         pair = light.select(F.explode(f"pairs_{level}").alias("p")).select("p.left", "p.right")
@@ -84,28 +90,28 @@ def same_name(docs: DataFrame, light: DataFrame, salt: int, levels: int) -> bool
 
 
 def identities(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, text_sha256 and identity of every row, from a written table."""
+    """doc_id, row (a number that no two rows share), n_bytes, text_sha256 and identity, from a written table."""
     longest = docs.agg(F.max(F.octet_length("text"))).head()[0] or 0
     levels = max(0, -(-longest // BLOCK_BYTES) - 1).bit_length()  # lower-casing A to Z keeps lengths
     for salt in range(SALTS):
         light = written(named(docs, salt, levels), "names")
         if not same_name(docs, light, salt, levels):
-            return light.select("doc_id", "n_bytes", "text_sha256", "identity")
+            return light.select("doc_id", "row", "n_bytes", "text_sha256", "identity")
     raise RuntimeError(f"{SALTS} salts gave two texts one name")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 and n_bytes of every row."""
     rows = identities(id_and_text(docs, id_col, text_col))
-    groups = rows.groupBy("identity", "n_bytes").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    # Rows of one id and text are told apart by a number; only the first of them stays.
-    again = Window.partitionBy("identity", "n_bytes", "doc_id").orderBy("text_sha256")
-    rows = rows.withColumn("again", F.row_number().over(again))
+    # Rows that repeat id and text are told apart by their number; one of them stays.
+    groups = rows.groupBy("identity", "n_bytes").agg(F.max(F.struct("doc_id", "row")).alias("stay"), F.count("*").alias("group_size"))
     # Nothing but the join needs a group together, and both its sides are plain partitions, so
     # Spark splits those of a large group.
     joined = rows.join(written(groups, "groups"), ["identity", "n_bytes"])
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("again") == 1)
-    return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", F.col("n_bytes").cast("long"))
+    kept = F.col("row") == F.col("stay.row")
+    return joined.select(
+        "doc_id", F.col("stay.doc_id").alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256", F.col("n_bytes").cast("long")
+    )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
