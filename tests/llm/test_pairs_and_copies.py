@@ -1,14 +1,16 @@
 """Substring dedup, exact dedup and the Jaccard join against brute force."""
 
 import hashlib
+import random
 import uuid
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.data import documents, frame, in_duck, row, texts, tuples
-from wardlake.llm import exact_dedup, jaccard_join, substring_dedup
+from wardlake.llm import components, exact_dedup, jaccard_join, substring_dedup
 
 ROWS = documents()
 
@@ -87,6 +89,25 @@ def test_exact_dedup_renames_when_names_clash(spark, monkeypatch):
     assert salts == [0, 1]
 
 
+def test_a_weak_hash_still_gives_right_groups(spark, monkeypatch):
+    """20 bits for some hundred blocks and pairs: clashes are found and another salt is taken, or it is an error."""
+    strong, salts = exact_dedup.name_of, []
+    monkeypatch.setattr(exact_dedup, "name_of", lambda salt, *more: salts.append(salt) or F.substring(strong(salt, *more), 1, 2))
+    columns, expected = in_duck(ROWS, exact_dedup.ORACLE)
+    assert tuples(exact_dedup.exact_dedup(frame(spark, ROWS)), *columns) == expected
+    monkeypatch.setattr(exact_dedup, "name_of", lambda *more: F.lit(b"x"))
+    with pytest.raises(RuntimeError):
+        exact_dedup.exact_dedup(frame(spark, ROWS[:9]))
+
+
+def test_a_third_of_all_rows_may_be_copies_without_an_id(spark):
+    rows = [row(None, "Same")] * 300 + [row(i, f"text {i}") for i in range(50)] + [row(None, "same")] * 3
+    columns, expected = in_duck(rows, exact_dedup.ORACLE)
+    found = exact_dedup.exact_dedup(frame(spark, rows))
+    assert tuples(found, *columns) == expected
+    assert "Window" not in found._jdf.queryExecution().toString()
+
+
 def test_two_blocks_with_one_name_are_found(spark):
     docs = frame(spark, [row(1, "a" * 5000), row(2, "b" * 9000)]).select("doc_id", "text")
     light = exact_dedup.named(docs, 0, 2)
@@ -140,10 +161,11 @@ def plain_components(rows, gram, percent):
     return sorted(((i, len(sets[a]), least[find(a)]) for a, (i, _) in enumerate(rows)), key=repr)
 
 
-@pytest.mark.parametrize("chance, at_once", [(0.03, 20), (0.9, 0)])
-def test_jaccard_join(spark, monkeypatch, chance, at_once):
+@pytest.mark.parametrize("chance, cell, sketch", [(0.03, 4_000, 16), (0.9, 2, 1)])
+def test_jaccard_join(spark, monkeypatch, chance, cell, sketch):
     monkeypatch.setattr(jaccard_join, "CHANCE", chance)
-    monkeypatch.setattr(jaccard_join, "ALL_AT_ONCE", at_once)
+    monkeypatch.setattr(jaccard_join, "CELL", cell)
+    monkeypatch.setattr(jaccard_join, "SKETCH", sketch)
     monkeypatch.setattr(jaccard_join, "MEMBERS_PER_SALT", 3)
     found = jaccard_join.jaccard_components(frame(spark, ROWS))
     expected = plain_components(texts(ROWS), 4, 85)
@@ -158,8 +180,8 @@ def test_rows_of_one_id_do_not_meet_every_set_of_it(spark, monkeypatch, tmp_path
         rows += [row(None, " ".join(text)), row(None, " ".join([*text, "end"]))]
     plain = jaccard_join.chosen_sets
 
-    def counted(gram):
-        choose = plain(gram)
+    def counted(gram, shared):
+        choose = plain(gram, shared)
 
         def count(batches):
             for batch in batches:
@@ -174,6 +196,62 @@ def test_rows_of_one_id_do_not_meet_every_set_of_it(spark, monkeypatch, tmp_path
     assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == len(rows)
 
 
+def around_the_threshold(n, seed=5):
+    """One text and n copies with 6 to 9 of 100 words changed, of which some link with some."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(100)]
+    rows = [row(0, " ".join(base))]
+    for i in range(1, n + 1):
+        copy = list(base)
+        for at in rng.sample(range(0, 100, 5), rng.randrange(1, 4)):
+            copy[at] = f"c{i}x{at}"
+        rows.append(row(i, " ".join(copy)))
+    return rows
+
+
+def test_rounds_do_not_grow_with_sets_that_do_not_link(spark, monkeypatch):
+    """Texts that share a passage, and so signatures, but are not alike."""
+    tables = {}
+    for module in (jaccard_join, components):
+        plain = module.written
+        monkeypatch.setattr(module, "written", lambda df, name, plain=plain: tables[n].append(name) or plain(df, name))
+    passage = [f"p{i}" for i in range(60)]
+    for n in (6, 12, 100):
+        tables[n] = []
+        rows = [row(i, " ".join([*passage, *(f"d{i}w{j}" for j in range(30))])) for i in range(n)]
+        found = jaccard_join.jaccard_components(frame(spark, rows))
+        assert tuples(found, "doc_id", "n_shingles", "component_id") == plain_components(texts(rows), 4, 85)
+    assert "left" in tables[100]  # groups of several components there were
+    assert len(tables[6]) == len(tables[12]) == len(tables[100])
+
+
+def test_a_pair_comes_out_once(spark):
+    """Members that share many signatures; the join's rows are its pairs."""
+    rng = np.random.default_rng(2)
+    shapes = ", ".join(f"p{i} long" for i in range(jaccard_join.PARITY_WORDS))
+    rows = [
+        (int(s), x, x // 20, 40, 20, 0, 10, *[0] * jaccard_join.PARITY_WORDS) for x in range(40) for s in rng.permutation(60)[:50]
+    ]
+    members = spark.createDataFrame(rows, f"signature long, set_id long, root long, n_members long, n_minor long, main long, n long, {shapes}")
+    found = jaccard_join.across(members, jaccard_join.may_link(85))
+    assert tuples(found, "a", "b") == sorted(((a, b) for a in range(20) for b in range(20, 40)), key=repr)
+
+
+def test_copies_around_the_threshold(spark):
+    rows = around_the_threshold(60)
+    found = jaccard_join.jaccard_components(frame(spark, rows))
+    assert tuples(found, "doc_id", "n_shingles", "component_id") == plain_components(texts(rows), 4, 85)
+
+
+def test_sets_of_one_name_go_by_both(spark):
+    sets = spark.createDataFrame([(3, 7, 1), (3, 7, 1), (3, 7, 2), (3, 8, 4), (0, 9, 5), (0, 9, 6)], "n_shingles long, set_id long, check_id long")
+    assert jaccard_join.shared_names(sets) == {7}
+    items = np.array([5, 6, 7], dtype=np.uint64)
+    first, second = jaccard_join.set_ids(items)
+    assert jaccard_join.set_name(items, frozenset()) == first
+    assert jaccard_join.set_name(items, frozenset([first])) == first ^ second
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.jaccard_components(frame(spark, [])).count() == 0
     bare = jaccard_join.jaccard_components(frame(spark, [row(5, None), row(6, "")]))

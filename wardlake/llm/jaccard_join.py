@@ -23,11 +23,14 @@ of sets in the band. Few sets or long segments need no neighbourhood; small sets
 *Verification.* Each group of sets with a signature in common proposes its least member (the pivot)
 against the others, one row each. Pairs whose sizes, or whose bitmaps of parities, differ by too
 much cannot link and go; the others are verified on the texts, and links give
-components. Groups that still hold several components propose again, by a member of their
-smallest component, until none does; once the pairs left across components are few enough to be
-looked at, all of them are, and those that sizes and bitmaps allow are proposed together. So copies of copies never meet in pairs, and no pair of components stays unchecked.
+components: copies of copies never meet in pairs. In groups that still hold several components every
+member meets those outside the group's largest component once: members are dealt into cells of at most
+``CELL`` by ``CELL``, sizes and bitmaps are compared inside the join, and of the signatures
+two sets share only the least lets a pair through. So the work has two rounds whatever the groups are
+like, a pair that comes out is one that has to be verified, and no pair of components stays unchecked.
 
-Classes are told apart by 64 bits, which a second hash of 64 bits checks on every row.
+A set has two 64-bit names. Where the first one is that of two sets, which at 10^11 sets happens to a few
+hundred, those sets go by both.
 
 Defined cases: NULL and empty texts have the empty set, and each is its own component; texts
 below ``gram`` words have one shingle, the whole text; repeated rows are copies of each other;
@@ -42,7 +45,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlake.llm.common import gram_hashes, id_and_text, mix, same_row, word_hashes, written
 from wardlake.llm.components import connected_components
@@ -54,7 +57,8 @@ UNIVERSES = 6
 SLACK = 1.1  # segments beyond those needed, for empty ones
 CHANCE = 0.03  # that a shingle of one set is in an unrelated one
 MEMBERS_PER_SALT = 2_000
-ALL_AT_ONCE = 5_000  # pairs left per proposed row up to which all of them are looked at together
+CELL = 4_000  # members of a group on either side that a task compares at a time
+SKETCH = 16  # least signatures of a set by which its pairs are told to come out once
 PARITY_WORDS = 8  # 64-bit words of a set's parity bitmap
 ROWS = 512
 _ODD = 0x9E3779B97F4A7C15
@@ -175,6 +179,12 @@ def may_link(percent: int):
     return close & ((100 + percent) * bits <= (100 - percent) * (n + m))
 
 
+def set_name(items: np.ndarray, shared: frozenset[int]) -> int:
+    """The name of a set: its first one, or both where other sets have the first as well."""
+    first, second = set_ids(items)
+    return first ^ second if first in shared else first
+
+
 def set_rows(gram: int):
     """(doc_id, text, text_key) to doc_id, text_key, n_shingles, the set's names and its bitmap."""
 
@@ -196,7 +206,7 @@ def set_rows(gram: int):
     return name
 
 
-def signature_rows(gram: int, percent: int, allocated: list[Band]):
+def signature_rows(gram: int, percent: int, allocated: list[Band], shared: frozenset[int]):
     """(doc_id, text) to signature and set_id, each set of a task once."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +216,7 @@ def signature_rows(gram: int, percent: int, allocated: list[Band]):
                 keys, sets, counts = [], [], []
                 for text in batch.column(1).slice(at, ROWS):
                     items = shingles(text.as_py(), gram)
-                    set_id, _ = set_ids(items)
+                    set_id = set_name(items, shared)
                     if len(items) and set_id not in seen:
                         seen.add(set_id)
                         keys.append(signatures(items, allocated, percent))
@@ -239,12 +249,12 @@ def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, last, pivot = keys[-1], sets[-1], pivots[-1]
 
 
-def chosen_sets(gram: int):
+def chosen_sets(gram: int, shared: frozenset[int]):
     """(set_id, text) rows whose text has that set; two texts of one hash may bring others."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fits = [set_ids(shingles(t.as_py(), gram))[0] == s for s, t in zip(batch.column(0).to_pylist(), batch.column(1))]
+            fits = [set_name(shingles(t.as_py(), gram), shared) == s for s, t in zip(batch.column(0).to_pylist(), batch.column(1))]
             yield batch.filter(pa.array(fits, pa.bool_()))
 
     return choose
@@ -281,10 +291,34 @@ def verified(pairs: DataFrame, texts: DataFrame, gram: int, percent: int) -> Dat
     return written(rows.mapInArrow(verifier(gram, percent), "a long, b long"), "verified")
 
 
-def renamed(members: DataFrame, x: str, other: str) -> DataFrame:
-    """Members as the other side of a join: signature, x, other, and their size and bitmap."""
-    shape = [F.col("n").alias("m"), *[F.col(f"p{i}").alias(f"q{i}") for i in range(PARITY_WORDS)]]
-    return members.select("signature", F.col(x).alias("x"), F.col(other).alias("other"), *shape)
+def across(members: DataFrame, possible: Column) -> DataFrame:
+    """Pairs (a, b) of members of a group, of different components, that ``possible`` leaves: each once,
+    but for those that share signatures beyond their least ones.
+
+    Of such a pair at least one is outside the group's largest component; those members, the minor ones,
+    are met by all others. Cells keep a group of any size from being one task.
+    """
+    sketches = members.groupBy("set_id").agg(F.slice(F.sort_array(F.collect_set("signature")), 1, SKETCH).alias("sketch"))
+    members = written(members.join(sketches, "set_id"), "members")
+    columns, rows = F.ceil(F.col("n_minor") / CELL), F.ceil(F.col("n_members") / CELL)
+    block = F.xxhash64("set_id")
+
+    def all_of(count: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+
+    minor = members.where("root <> main").select(
+        F.col("signature").alias("s"), F.col("set_id").alias("x"), F.col("root").alias("other"), F.col("sketch").alias("sketch_x"),
+        F.col("n").alias("m"), *[F.col(f"p{i}").alias(f"q{i}") for i in range(PARITY_WORDS)],
+        F.pmod(block, columns).alias("c"), rows.alias("rows"),
+    ).withColumn("r", all_of(F.col("rows"))).drop("rows")
+    every = members.withColumn("row", F.pmod(block, rows)).withColumn("column", all_of(columns))
+    on = (every["signature"] == minor["s"]) & (every["row"] == minor["r"]) & (every["column"] == minor["c"])
+    shared = F.array_intersect("sketch", "sketch_x")
+    once = ((F.col("root") == F.col("main")) | (F.col("set_id") < F.col("x"))) & (
+        (F.size(shared) == 0) | (F.array_min(shared) == F.col("signature"))
+    )
+    found = every.join(minor, on & (F.col("root") != F.col("other")) & possible & once)
+    return found.select(F.least("set_id", "x").alias("a"), F.greatest("set_id", "x").alias("b"))
 
 
 def components_of(proposed: DataFrame, texts: DataFrame, shapes: DataFrame, gram: int, percent: int) -> DataFrame:
@@ -298,43 +332,31 @@ def components_of(proposed: DataFrame, texts: DataFrame, shapes: DataFrame, gram
     pairs = proposed.select(F.col("pivot").alias("a"), F.col("set_id").alias("b")).distinct()
     pairs = pairs.join(shapes, pairs["a"] == shapes["set_id"]).drop("set_id")
     pairs = pairs.join(others, pairs["b"] == others["set_id"]).where(possible).select("a", "b")
-    pairs = written(pairs, "pairs")
-    links = verified(pairs, texts, gram, percent)
+    links = verified(written(pairs, "pairs"), texts, gram, percent)
     roots = connected_components(links)
-    left = proposed.select("signature", "set_id")  # members but for the pivots that had their turn
-    while True:
-        placed = left.join(roots, left["set_id"] == roots["node"], "left")
-        placed = placed.select("signature", "set_id", F.coalesce("root", "set_id").alias("root"))
-        # Groups with several components; a component that a group holds often counts once here.
-        per_root = placed.groupBy("signature", "root").agg(F.count("*").alias("n"), F.min("set_id").alias("least"))
-        open_ = per_root.groupBy("signature").agg(
-            F.count("*").alias("roots"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"),
-            F.max(F.struct("n", "root"))["root"].alias("main"), F.min(F.struct("n", "least"))["least"].alias("pivot"),
-        ).where("roots > 1")
-        open_ = written(open_, "open")
-        rows, across = open_.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).head()
-        if not rows:
-            return roots
-        members = placed.join(open_.select("signature", "main", "pivot"), "signature").join(shapes, "set_id")
-        members = written(members, "members")
-        last = across <= ALL_AT_ONCE * rows
-        if last:
-            # Of a pair across components, one lies outside the group's largest component.
-            minor = renamed(members.where("root <> main"), x="set_id", other="root")
-            found = members.join(minor, "signature").where(possible & (F.col("root") != F.col("other")))
-            found = found.select(F.least("set_id", "x").alias("a"), F.greatest("set_id", "x").alias("b"))
-        else:
-            own = renamed(members.where("set_id = pivot"), x="set_id", other="root")
-            found = members.join(own, "signature").where(possible & (F.col("root") != F.col("other")))
-            found = found.select(F.col("pivot").alias("a"), F.col("set_id").alias("b"))
-        pairs = written(found.distinct(), "pairs")
-        more = verified(pairs, texts, gram, percent)
-        if more.head(1):
-            links = links.unionByName(more)
-            roots = connected_components(links)
-        if last:
-            return roots
-        left = members.where("set_id <> pivot").select("signature", "set_id")
+    # The pivots had their turn; what is left of each group is placed in its components.
+    placed = proposed.join(roots, proposed["set_id"] == roots["node"], "left")
+    placed = placed.select("signature", "set_id", F.coalesce("root", "set_id").alias("root"))
+    # A component that a group holds often counts once here.
+    per_root = placed.groupBy("signature", "root").agg(F.count("*").alias("held"))
+    open_ = per_root.groupBy("signature").agg(
+        F.count("*").alias("roots"), F.sum("held").alias("n_members"), F.max(F.struct("held", "root")).alias("largest")
+    ).where("roots > 1")
+    open_ = open_.select(
+        "signature", "n_members", F.col("largest.root").alias("main"), (F.col("n_members") - F.col("largest.held")).alias("n_minor")
+    )
+    open_ = written(open_, "open")
+    if not open_.head(1):
+        return roots
+    members = written(placed.join(open_, "signature").join(shapes, "set_id"), "left")
+    more = verified(written(across(members, possible).distinct(), "pairs"), texts, gram, percent)
+    return connected_components(links.unionByName(more)) if more.head(1) else roots
+
+
+def shared_names(sets: DataFrame) -> frozenset[int]:
+    """First names that several sets have: n sets make n^2 / 2^65 of them by chance."""
+    named = sets.where("n_shingles > 0").groupBy("set_id").agg((F.min("check_id") != F.max("check_id")).alias("several"))
+    return frozenset(r["set_id"] for r in named.where("several").select("set_id").collect())
 
 
 def jaccard_components(
@@ -356,27 +378,29 @@ def component_rows(
     schema = "doc_id long, text_key long, n_shingles long, set_id long, check_id long, " + ", ".join(f"{p} long" for p in parity)
     sets = keyed.mapInArrow(set_rows(gram), schema)
     sets = written(sets, "sets")
-    classes = sets.where("n_shingles > 0").groupBy("set_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("n"), (F.min("check_id") != F.max("check_id")).alias("clash"),
-        *[F.min(p).alias(p) for p in parity],
-    )
+    shared = shared_names(sets)
+    if shared:
+        both = F.col("set_id").bitwiseXOR(F.col("check_id"))
+        sets = written(sets.withColumn("set_id", F.when(F.col("set_id").isin(*shared), both).otherwise(F.col("set_id"))), "sets")
+        if shared_names(sets):
+            raise RuntimeError("two sets share both 64-bit names")
     # The first row of a set: the one with its least id and, of those, the least hash of its text.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "text_key")).alias("first")
+    classes = sets.where("n_shingles > 0").groupBy("set_id").agg(first, F.max("n_shingles").alias("n"), *[F.min(p).alias(p) for p in parity])
     classes = written(classes.withColumn("class_id", F.col("first.doc_id")), "classes")
-    if classes.where("clash").head(1):
-        raise RuntimeError("two sets share a 64-bit name; change the salts of set_ids")
     largest = classes.agg(F.max("n")).head()[0] or 0
     empty = bands(largest, percent)
     edges = F.lit(np.array([b.low for b in empty] or [1]))
     sizes = classes.select(F.size(F.filter(edges, lambda e: e <= F.col("n"))).alias("band")).groupBy("band").count().collect()
     counts = {r["band"] - 1: r["count"] for r in sizes}  # a row for each band
     allocated = [allocate(b, counts.get(i, 0) + counts.get(i + 1, 0)) for i, b in enumerate(empty)]
-    sent = rows.mapInArrow(signature_rows(gram, percent, allocated), "signature long, set_id long")
+    sent = rows.mapInArrow(signature_rows(gram, percent, allocated, shared), "signature long, set_id long")
     ordered = sent.repartition("signature").sortWithinPartitions("signature", "set_id")
     proposed = written(ordered.mapInArrow(groups, "signature long, pivot long, set_id long"), "proposed")
     needed = proposed.select("set_id").unionByName(proposed.select(F.col("pivot").alias("set_id"))).distinct()
     needed = needed.join(classes.select("set_id", "first.doc_id", "first.text_key"), "set_id")
     texts = same_row(keyed, needed, "inner").select("set_id", "text")
-    texts = written(texts.mapInArrow(chosen_sets(gram), "set_id long, text string").dropDuplicates(["set_id"]), "texts")
+    texts = written(texts.mapInArrow(chosen_sets(gram, shared), "set_id long, text string").dropDuplicates(["set_id"]), "texts")
     shapes = classes.select("set_id", "n", *parity)
     roots = components_of(proposed, texts, shapes, gram, percent)
     placed = classes.join(roots, classes["set_id"] == roots["node"], "left")
