@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from wardlake.llm.common import id_and_text
 
 MARKER = "▁"
-CACHE_BYTES = 32_000_000  # of what a worker remembers, by the bytes its entries take
+CACHE_BYTES = 16_000_000  # of what a worker remembers, by the bytes its entries take
 ENTRY = 160  # bytes of an entry besides its letters and ids
 ROWS = 512
 TOGETHER = 16  # words sent to the library in one text
@@ -272,6 +272,7 @@ def encoder(path: str):
                     ],
                     names=["doc_id", "n_ids", "ids", "round_trip", "parity"],
                 )
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return encode
 

@@ -233,6 +233,9 @@ PENALTIES = [5.0 if level < (2 if family is INSULTS else 1) else 0.3 for family,
 LEAST_STEP = 0.05  # the least weight of the levels above the lowest
 
 
+OTHER = [("o", 0.0)]  # one object for nearly all words
+
+
 class Reader:
     """Texts to the events of their clauses, for one lexicon of insults (word or beginning: weight)."""
 
@@ -244,9 +247,10 @@ class Reader:
     def classify(self, token: str) -> list[tuple[str, float]]:
         """Classes and weights of a lower-case token's parts; a bounded number is remembered."""
         if token not in self.seen:
-            if len(self.seen) > 200_000:
+            if len(self.seen) >= 100_000:
                 self.seen.clear()
-            self.seen[token] = [self._classify(word) for word in parts(token)]
+            found = [self._classify(word) for word in parts(token)]
+            self.seen[token] = OTHER if found == OTHER else found
         return self.seen[token]
 
     def _insult(self, word: str) -> float:
