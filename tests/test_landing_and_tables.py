@@ -180,6 +180,18 @@ def test_jdbc_splits_cover_every_bucket_once():
         assert all("4" in p.rsplit(" = ", 1)[0] for p in predicates)
 
 
+def test_jdbc_ranges_cover_every_row_once(spark):
+    source = jdbc.mysql_hospital("h", "db")
+    keys = [None, "", "A", "EV1", "EV5", "EV5x", "O'Neil", "Z"]
+    rows = spark.createDataFrame([(k,) for k in keys], "event_id string")
+    for cuts in ([], ["EV5"], ["EV1", "EV5", "O'Neil"]):
+        splits = source.ranges("event_id", cuts)
+        assert len(splits) == len(cuts) + 1
+        found = [r.event_id for split in splits for r in rows.filter(split).collect()]
+        assert sorted(found, key=repr) == sorted(keys, key=repr)
+    assert source.ranges("n", [10, 20]) == ["n < 10 OR n IS NULL", "n >= 10 AND n < 20", "n >= 20"]
+
+
 def test_jdbc_options():
     hospital = jdbc.mysql_hospital("db.example", "hospital")
     assert hospital.url == "jdbc:mysql://db.example:3306/hospital"
