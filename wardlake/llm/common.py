@@ -10,7 +10,6 @@ import os
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardlake.sources.shared import shared_folder
@@ -60,6 +59,8 @@ def words(text: str) -> list[bytes]:
 
 def word_hashes(found: list[bytes]) -> np.ndarray:
     """A 64-bit hash of each word, the same in every process."""
+    import pandas as pd  # takes memory of every worker that has it, so only of those that hash words
+
     column = np.empty(len(found), dtype=object)
     column[:] = found
     return pd.util.hash_array(column, categorize=False)

@@ -6,12 +6,13 @@ normaliser (the precompiled map, if any), the space marker with its leading dumm
 fallback, and either unigram scores or, for a BPE model, the merges that its scores imply.
 
 A vocabulary in which no piece holds the marker behind another character never merges across
-the start of a run of spaces. Texts then fall into marked words, whose ids are remembered, a
-bounded number of them, and only new words reach the library, a batch at a time on all the
-threads that TOKENIZERS_PARALLELISM allows. Texts with runs of spaces, a space at an end
-or a literal marker go to the library as a whole. Parity with the sentencepiece library is
-verified on everything that is sent to the library, whole texts and distinct words alike, and
-reported per document; where the two differ, the sentencepiece library's ids are taken.
+the start of a run of spaces. Texts then fall into units, a run of spaces with the word behind it,
+whose ids are remembered, a bounded number of them, and only new units reach the library, a
+bounded number at a time on all the threads that TOKENIZERS_PARALLELISM allows: a long text never
+goes there in one piece, since the libraries take some hundred bytes for each of its letters. A
+literal marker reads as a space, as in both libraries. Parity with the sentencepiece library is
+verified on everything that is sent to the library, units and (for other vocabularies) whole
+texts alike, and reported per document; where the two differ, the sentencepiece library's ids are taken.
 
 Defined cases: NULL and empty texts have no ids and decode to the empty text; repeated rows
 each give a row; a NULL id stays NULL; an empty table gives an empty result.
@@ -19,6 +20,7 @@ each give a row; a NULL id stays NULL; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,6 +36,9 @@ CACHE_BYTES = 16_000_000  # of what a worker remembers, by the bytes its entries
 ENTRY = 160  # bytes of an entry besides its letters and ids
 ROWS = 512
 TOGETHER = 16  # words sent to the library in one text
+SENT = 1024  # texts sent to the library at a time
+# A space and what belongs to it: further spaces and the word behind them.
+UNIT = re.compile(" ( *[^ ]*)")
 # Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -134,6 +139,7 @@ def build(model: Model):
         core = models.BPE(
             vocab={p: i for i, (p, _, _) in enumerate(model.pieces)}, merges=implied_merges(model),
             unk_token=model.pieces[model.unk_id][0], fuse_unk=True, byte_fallback=model.byte_fallback,
+            cache_capacity=0,  # words are remembered here; the library's cache takes 250 MB and half the time
         )
     else:
         raise ValueError(f"model kind {model.kind} is neither unigram nor BPE")
@@ -166,11 +172,13 @@ class Codec:
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.kind = "<u2" if len(self.model.pieces) <= 1 << 16 else "<u4"
         inside = any(MARKER in p.lstrip(MARKER) for p, _, k in self.model.pieces if k in (NORMAL, USER_DEFINED))
+        marker = next((i for i, (p, _, k) in enumerate(self.model.pieces) if p == MARKER and k == NORMAL), None)
         self.by_word = (
-            not inside and not self.model.charsmap and self.model.dummy_prefix
+            not inside and marker is not None and not self.model.charsmap and self.model.dummy_prefix
             and self.model.escape_spaces and not self.model.remove_extra_spaces
         )
-        self.known: dict[str, bytes] = {}
+        # A single space at the end of a text is the marker alone.
+        self.known: dict[str, bytes] = {"": np.array([marker], dtype=self.kind).tobytes()} if self.by_word else {}
         self.room = CACHE_BYTES
         self.differ: set[str] = set()  # words on which the libraries differ
         self.begins = np.array([p.startswith(MARKER) for p, _, _ in self.model.pieces])
@@ -184,54 +192,64 @@ class Codec:
             else:
                 self.shown.append(piece.replace(MARKER, " ").encode())
 
-    def _sent(self, texts: list[str]) -> list[tuple[bytes, bool]]:
+    def _sent(self, texts: list[str]) -> Iterator[tuple[bytes, bool]]:
         """Ids of texts by the library, and whether the sentencepiece library agrees."""
-        if not texts:
-            return []
-        own = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        other = self.reference.encode(texts, num_threads=1)
-        return [(np.array(b, dtype=self.kind).tobytes(), a == b) for a, b in zip(own, other)]
-
-    def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words without space or marker, many in one text: each begins at the only
-        piece that begins with the marker. Words on which the libraries differ are noted."""
+        for at in range(0, len(texts), SENT):
+            some = texts[at : at + SENT]
+            own = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            other = self.reference.encode(some, num_threads=1)
+            for a, b in zip(own, other):
+                yield np.array(b, dtype=self.kind).tobytes(), a.ids == b
+
+    def _units(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of units. Those without further spaces go many in one text: each begins at the only
+        piece that begins with the marker. Units on which the libraries differ are noted."""
         found: dict[str, bytes] = {}
+        alone = [u for u in units if u.startswith(" ")]
+        words = [u for u in units if not u.startswith(" ")]
         groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
         for group, (data, same) in zip(groups, self._sent([" ".join(g) for g in groups])):
             row = np.frombuffer(data, self.kind)
             width = row.dtype.itemsize
             cuts = (np.flatnonzero(self.begins[row]) * width).tolist()
             if not same or len(cuts) != len(group):
-                for word, (ids, agree) in zip(group, self._sent(group)):
-                    found[word] = ids
-                    if not agree:
-                        self.differ.add(word)
+                alone += group
                 continue
             cuts.append(len(data))
             found.update((w, data[cuts[i] : cuts[i + 1]]) for i, w in enumerate(group))
+        for unit, (ids, agree) in zip(alone, self._sent(alone)):
+            found[unit] = ids
+            if not agree:
+                self.differ.add(unit)
         return found
 
-    def _plain(self, text: str) -> bool:
-        return self.by_word and not ("  " in text or MARKER in text or text.startswith(" ") or text.endswith(" "))
+    def _cut(self, text: str) -> list[str]:
+        """The units of a text, each without its first space; the first has the dummy's."""
+        if not text:
+            return []
+        text = text.replace(MARKER, " ")
+        if "  " in text or text[0] == " " or text[-1] == " ":
+            return UNIT.findall(" " + text)
+        return text.split(" ")
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """Little-endian ids of each text, and whether both libraries agree on it."""
+        if not self.by_word:
+            odd = list(set(texts))
+            whole = dict(zip(odd, self._sent(odd)))
+            return [whole[t] for t in texts]
         known = self.known
-        split = [t.split(" ") if t and self._plain(t) else None for t in texts]
-        new = self._words(list({w for row in split if row for w in row if w not in known}))
+        cut = [self._cut(t) for t in texts]
+        new = self._units(list({u for row in cut for u in row if u not in known}))
         size = sum(len(w) + len(ids) for w, ids in new.items()) + ENTRY * len(new)
         if size <= self.room:
             self.room -= size
             known.update(new)
             new = {}
-        whole = dict(zip(odd := list({t for t, row in zip(texts, split) if row is None}), self._sent(odd)))
         out = []
-        for text, row in zip(texts, split):
-            if row is None:
-                out.append(whole[text])
-            else:
-                ids = [known[w] if w in known else new[w] for w in row] if new else map(known.__getitem__, row)
-                out.append((b"".join(ids), self.differ.isdisjoint(row) if self.differ else True))
+        for row in cut:
+            ids = [known[u] if u in known else new[u] for u in row] if new else map(known.__getitem__, row)
+            out.append((b"".join(ids), self.differ.isdisjoint(row) if self.differ else True))
         return out
 
     def decode(self, ids: bytes) -> str:

@@ -43,7 +43,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
@@ -426,11 +425,13 @@ def toxicity_scores(docs: DataFrame, scorer: Scorer | None, threshold: float = T
 def score_of(scorer: Scorer, text: Column) -> Column:
     """The score as a column: only texts go to Python, the other columns stay where they are."""
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         reader = Reader(scorer.lexicon)
         for batch in batches:
-            yield pd.Series([scorer.score(reader.clauses(t)) for t in batch], dtype="float64")
+            # A few texts at a time become Python objects.
+            slices = (batch.slice(at, ROWS).to_pylist() for at in range(0, len(batch), ROWS))
+            yield pa.array([scorer.score(reader.clauses(t)) for texts in slices for t in texts], pa.float64())
 
     return score(text)
 
