@@ -79,18 +79,58 @@ CASES = [
     (7, "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
         "version.", "GPL-3.0-or-later"),
-    (8, "SPDX-License-Identifier: MIT", ""),
+    (8, "// SPDX-License-Identifier: MIT", "MIT"),
     (9, "x\nSPDX-License-Identifier CC0-1.0\ny", "CC0-1.0"),
+    (10, "/* SPDX-License-Identifier: MIT OR Apache-2.0 */\nint x;", "MIT OR Apache-2.0"),
+    (11, "This project is licensed under the MIT License - see the LICENSE file for details.", "MIT"),
+    (12, "The code in here is available under the terms of the Apache License 2.0. See LICENSE.", "Apache-2.0"),
+    (13, "This program is free software; you can redistribute it and/or\nmodify it under the terms of the GNU General Public "
+         "License\nas published by the Free Software Foundation; either version 2\nof the License, or (at your option) any "
+         "later version.\n", "GPL-2.0-or-later"),
+    (14, "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+         "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+         "any later version.", "LGPL-2.1-or-later"),
+    (15, "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+         "later version.", "AGPL-3.0-or-later"),
+    (16, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not "
+         "distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+    (17, "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+         "granted, provided that the above copyright notice and this permission notice appear in all copies.", "ISC"),
+    (18, "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+         "is available at https://www.eclipse.org/legal/epl-2.0/\n\nSPDX-License-Identifier: EPL-2.0", "EPL-2.0"),
+    (19, "This is free and unencumbered software released into the public domain.\n\nAnyone may use it.", "Unlicense"),
+    (20, "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+         "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list "
+         "of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright "
+         "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+         "with the distribution.", "BSD-2-Clause"),
+    (21, "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    (22, "Photos: licensed under CC BY 4.0", "CC-BY-4.0"),
+    (23, "Distributed under the BSD 3-Clause License.\nLibrary parts are licensed under the LGPL-2.1.", "BSD-3-Clause"),
+    (24, "This text is not licensed under the MIT License, and under the MIT License rules apply.", ""),
 ]
 
 
 def test_licenses():
-    assert not [i for _, ids in licenses.RULES for i in ids if i not in licenses.SENTENCES]
+    known = set(licenses.sentence_table().values())
+    assert known == {i for names in (licenses.SENTENCES, licenses.NAMES, licenses.SPDX) for i in names}
+    assert not [i for _, ids in licenses.RULES for i in ids if i not in known]
+    assert all(licenses.one_form(t) == t for t in licenses.sentence_table())
+
+
+def test_every_short_name_and_line(spark):
+    """Each name in a usual sentence, each SPDX line, against the licence that its rule names."""
+    of = {ids[0]: name for name, ids in licenses.RULES if len(ids) == 1}
+    cases = [(f"Intro.\nThis small tool is released under the terms of the {n} license; enjoy.", of[i]) for i, ns in licenses.NAMES.items() for n in ns]
+    cases += [(f"# SPDX-License-Identifier: {n}\nrest", of[i]) for i, ns in licenses.SPDX.items() for n in ns]
+    found = licenses.license_scan(frame(spark, [row(k, t) for k, (t, _) in enumerate(cases)]))
+    assert {r["doc_id"]: r["licenses"] for r in found.collect()} == {k: e for k, (_, e) in enumerate(cases)}
 
 
 def test_rules(spark):
     found = licenses.license_scan(frame(spark, [row(i, t) for i, t, _ in CASES]))
-    assert tuples(found, "doc_id", "licenses") == [(i, e) for i, _, e in CASES]
+    assert {r["doc_id"]: r["licenses"] for r in found.collect()} == {i: e for i, _, e in CASES}
     left = {r["doc_id"]: r["unmatched"] for r in found.collect()}
     assert left[6] == "mit_notice" and left[1] == ""
 
