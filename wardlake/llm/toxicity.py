@@ -51,6 +51,7 @@ from wardlake.llm.common import id_and_text, written
 
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.7
+ROWS = 512  # texts that are Python objects at a time
 STEM = range(4, 8)  # lengths of word beginnings that may be insults
 # An insult is in so many toxic documents (at least, and as a share of them), and so much likelier there.
 LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 5, 0.005, 3.5
