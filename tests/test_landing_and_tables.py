@@ -85,6 +85,22 @@ def test_blanks_survive_and_line_breaks_are_refused(spark, tmp_path):
         landing.write_landing_csv(broken, str(tmp_path / "broken.csv"))
 
 
+def test_any_type_that_can_hold_a_line_break_is_searched(spark, tmp_path):
+    for i, (value, kind) in enumerate([("a\rb", "string"), (bytearray(b"a\nb"), "binary"), (["a\nb"], "array<string>")]):
+        with pytest.raises(Exception, match="line break"):
+            landing.write_landing_csv(spark.createDataFrame([(value,)], f"x {kind}"), str(tmp_path / str(i)))
+
+
+def test_bronze_takes_the_period_out_of_the_path_once(spark, ctx, monkeypatch):
+    landing.write_landing_csv(text_frame(spark, "Pharma"), ctx.landing_path(PHARMA))
+    written, write = [], tables.write_parquet
+    monkeypatch.setattr(jobs.tables, "write_parquet", lambda df, path: (written.append(df), write(df, path)))
+    assert jobs.raw_to_bronze(spark, ctx, PHARMA) == 8
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan and "CollectMetrics" in plan
+    assert tuples(tables.read_bronze(spark, ctx.bronze_path(PHARMA)), "Month", "Year") == {("January", "2026")}
+
+
 def test_short_and_long_records_fail_the_gate(spark, ctx):
     header = ",".join(PHARMA.columns)
     good = "MED001,Aspa,Painkiller,H01,1,1,2026-01-01"
