@@ -111,3 +111,15 @@ def test_normalize_hospital_id(spark):
     ids = spark.createDataFrame([("H01",), ("H1",), ("H10",), ("H010",), ("H0",)], "i string")
     found = [r[0] for r in ids.select(normalize_hospital_id(F.col("i"))).collect()]
     assert found == ["H1", "H1", "H10", "H10", "H0"]
+
+
+def test_rejected_rows_are_found_without_making_their_reasons(spark):
+    rows = spark.createDataFrame([(1, None), (2, 5), (9, 9), (None, 1)], "a int, b int")
+    rules = {"small": F.col("a") < 5, "there": F.col("b").isNotNull(), "even": F.col("a") % 2 == 0}
+    rejected = cleanse.rejected_rows(rows, rules)
+    assert {(r.a, r.b, tuple(r.failed_rules)) for r in rejected.collect()} == {
+        (1, None, ("there", "even")), (9, 9, ("small", "even")), (None, 1, ("small", "even"))
+    }
+    plan = rejected._jdf.queryExecution().optimizedPlan().toString()
+    found = next(line for line in plan.splitlines() if "Filter" in line)
+    assert "lambda" not in plan and "size(" not in found
