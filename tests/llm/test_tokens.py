@@ -58,6 +58,26 @@ def test_words_apart_give_the_ids_of_the_text():
         assert np.frombuffer(data, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_words_go_by_their_pieces(monkeypatch):
+    """Words that differ in case or punctuation alone reach the library once; ids are its own, also beyond the cache."""
+    library = Tokenizer.from_file(WORD_BPE)
+    rng = random.Random(5)
+    marks = ["", "'s", "'LL", ",", "...", "''", "'", "7", "42%", "-x", "<|", "<|endoftext|>", "é", "\x1f", "_"]
+    odd = [" ".join(rng.choice(marks) + rng.choice(["Don", "photography", "UNBELIEVABLE", "qzx", ""]) + rng.choice(marks) for _ in range(60)) for _ in range(60)]
+    for room in (token_files.CACHE_PIECES, 3):
+        monkeypatch.setattr(token_files, "CACHE_PIECES", room)
+        encoder = token_files.Encoder(WORD_BPE, 16)
+        assert encoder.by_piece
+        for at in (0, 30):
+            for text, data in zip(odd[at : at + 30], encoder.encode(odd[at : at + 30])):
+                assert np.frombuffer(data, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder.pieces) <= room
+    sent = []
+    monkeypatch.setattr(encoder, "_joint", lambda new: sent.extend(new) or {})
+    encoder._words([b"Sesquipedal,", b"SESQUIPEDAL", b"sesquipedal..."])
+    assert not sent
+
+
 @pytest.mark.parametrize("shard_tokens", [1 << 22, 50])
 def test_token_files(spark, shard_tokens):
     library = Tokenizer.from_file(WORD_BPE)

@@ -21,6 +21,8 @@ repeated ids are ordered by their text; an empty table gives no file and no row.
 from __future__ import annotations
 
 import json
+import re
+import string
 import struct
 import uuid
 import zlib
@@ -37,8 +39,12 @@ from wardlake.sources.shared import shared_folder
 MAGIC = b"WLWM1\n"
 SHARD_TOKENS = 1 << 22
 BLOCK = 512  # bits per entry of the rank directory
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
+CACHE_PIECES = 400_000
 ENCODE_ROWS = 1_024
+# Words of printable ASCII, and where the usual pre-tokenizer cuts them once they are lower-cased.
+PLAIN = re.compile(rb"[!-~]+")
+PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
@@ -192,6 +198,11 @@ class Encoder:
     Remembering words is only right for vocabularies that drop white space and cut at it, so
     that a text's ids are those of its words; that is tried on the vocabulary itself, and
     others encode whole texts. Up to ``CACHE_WORDS`` words are kept, the first ones seen.
+
+    Words that differ in case or punctuation alone share most of their pieces. Where the vocabulary
+    lower-cases and cuts plain ASCII words as ``PIECES`` does, which is tried on all pairs of
+    characters, a new word's ids are put together from those of its pieces, and only new pieces go to
+    the library's model, without its normaliser and pre-tokenizer; up to ``CACHE_PIECES`` are kept.
     """
 
     SEPARATOR = "photography"  # stands between words that are encoded in one go
@@ -207,6 +218,20 @@ class Encoder:
         self.by_word = self._ids(probe) == [i for w in probe.encode().split() for i in self._ids(w.decode())]
         mark = self._ids(self.SEPARATOR)
         self.mark = mark[0] if len(mark) == 1 else None
+        self.pieces: dict[bytes, bytes] = {}
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_piece = self.by_word and self._cuts_as_pieces()
+
+    def _cuts_as_pieces(self) -> bool:
+        """Whether words of any two printable ASCII characters, and contractions, are their pieces."""
+        letters = string.digits + string.ascii_letters + string.punctuation
+        words = [(a + b).encode() for a in letters for b in letters]
+        words += [(a + w + b).encode() for w in ("'re", "'VE", "'ll", "'S", "'t", "''d", "'m'") for a in ("", "x", "7", "'", ".") for b in ("", "X", "7", "'", ".")]
+        words = [w for w in words if not any(a in w for a in self.added)]
+        whole = self._joint(words)
+        cut = {w: PIECES.findall(w.lower()) for w in words}
+        of = self._merged({p for row in cut.values() for p in row})
+        return all(whole[w] == b"".join(map(of.__getitem__, row)) for w, row in cut.items())
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -218,6 +243,30 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _words(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words, by their pieces where that is right."""
+        if not self.by_piece:
+            return self._joint(new)
+        together = b" ".join(new)
+        added = [a for a in self.added if a in together]
+        plain = {w: PIECES.findall(w.lower()) for w in new if PLAIN.fullmatch(w) and not (added and any(a in w for a in added))}
+        known = self.pieces
+        unseen = self._merged({p for row in plain.values() for p in row if p not in known})
+        if len(known) + len(unseen) <= CACHE_PIECES:
+            known.update(unseen)
+        found = self._joint([w for w in new if w not in plain])
+        found.update((w, b"".join([known[p] if p in known else unseen[p] for p in row])) for w, row in plain.items())
+        return found
+
+    def _merged(self, pieces: set[bytes]) -> dict[bytes, bytes]:
+        """The ids that the library's model gives for pieces as they are."""
+        merge, ids, ends = self.tokenizer.model.tokenize, [], []
+        for piece in pieces:
+            ids += [t.id for t in merge(piece.decode())]
+            ends.append(len(ids))
+        data, width = self._pack(ids), np.dtype(self.kind).itemsize
+        return {p: data[width * a : width * b] for p, a, b in zip(pieces, [0, *ends], ends)}
+
+    def _joint(self, new: list[bytes]) -> dict[bytes, bytes]:
         """The ids of words, a hundred of them in one text with a separator in between."""
         found: dict[bytes, bytes] = {}
         apart = []
