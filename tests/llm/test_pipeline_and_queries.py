@@ -12,7 +12,7 @@ import __spark_entry__ as entry_point
 import corpus_pipeline
 from tests.llm.data import SF, documents, frame, in_duck, row, texts, tuples, words
 from tests.llm.test_pairs_and_copies import plain_components
-from wardlake.llm import mixing, toxicity
+from wardlake.llm import common, mixing, toxicity
 from wardlake.llm.queries import ORACLES, QUERIES
 from wardlake.llm.sentencepiece_codec import codec
 
@@ -165,3 +165,23 @@ def test_run_takes_every_stage(spark):
     assert [r[0] for r in tuples(found, "doc_id")] == [r[0] for r in tuples(kept, "doc_id")]
     tokens = {r["doc_id"]: r["n_tokens"] for r in mixing.measured(kept, mixing.PRODUCTION).collect()}
     assert set(tokens) == {r["doc_id"] for r in found.collect()}
+
+
+def test_workers_keep_no_free_memory_after_a_task():
+    """Blocks below one that is still in use stay with the process unless they are given back."""
+
+    def resident():
+        status = Path("/proc/self/status").read_text()
+        return int(status.split("VmRSS:")[1].split()[0]) // 1024
+
+    kept = []
+
+    def work(batches):
+        for n in batches:
+            blocks = [np.ones(12_000) for _ in range(n)]  # 96 KB each, from the heap
+            kept.append(np.ones(1_000))
+            yield len(blocks)
+
+    before = resident()
+    assert list(common.tidy(work)([2_000])) == [2_000]
+    assert resident() < before + 60

@@ -47,7 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardlake.llm.common import gram_hashes, id_and_text, mix, same_row, word_hashes, written
+from wardlake.llm.common import gram_hashes, id_and_text, mix, same_row, tidy, word_hashes, written
 from wardlake.llm.components import connected_components
 
 GRAM = 4
@@ -288,7 +288,7 @@ def verified(pairs: DataFrame, texts: DataFrame, gram: int, percent: int) -> Dat
     pivots = salts.join(texts, salts["a"] == texts["set_id"])
     pivots = pivots.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "text")
     rows = members.unionByName(pivots).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return written(rows.mapInArrow(verifier(gram, percent), "a long, b long"), "verified")
+    return written(rows.mapInArrow(tidy(verifier(gram, percent)), "a long, b long"), "verified")
 
 
 def across(members: DataFrame, possible: Column) -> DataFrame:
@@ -376,7 +376,7 @@ def component_rows(
     keyed = rows.withColumn("text_key", F.xxhash64("text"))
     parity = [f"p{i}" for i in range(PARITY_WORDS)]
     schema = "doc_id long, text_key long, n_shingles long, set_id long, check_id long, " + ", ".join(f"{p} long" for p in parity)
-    sets = keyed.mapInArrow(set_rows(gram), schema)
+    sets = keyed.mapInArrow(tidy(set_rows(gram)), schema)
     sets = written(sets, "sets")
     shared = shared_names(sets)
     if shared:
@@ -394,13 +394,13 @@ def component_rows(
     sizes = classes.select(F.size(F.filter(edges, lambda e: e <= F.col("n"))).alias("band")).groupBy("band").count().collect()
     counts = {r["band"] - 1: r["count"] for r in sizes}  # a row for each band
     allocated = [allocate(b, counts.get(i, 0) + counts.get(i + 1, 0)) for i, b in enumerate(empty)]
-    sent = rows.mapInArrow(signature_rows(gram, percent, allocated, shared), "signature long, set_id long")
+    sent = rows.mapInArrow(tidy(signature_rows(gram, percent, allocated, shared)), "signature long, set_id long")
     ordered = sent.repartition("signature").sortWithinPartitions("signature", "set_id")
-    proposed = written(ordered.mapInArrow(groups, "signature long, pivot long, set_id long"), "proposed")
+    proposed = written(ordered.mapInArrow(tidy(groups), "signature long, pivot long, set_id long"), "proposed")
     needed = proposed.select("set_id").unionByName(proposed.select(F.col("pivot").alias("set_id"))).distinct()
     needed = needed.join(classes.select("set_id", "first.doc_id", "first.text_key"), "set_id")
     texts = same_row(keyed, needed, "inner").select("set_id", "text")
-    texts = written(texts.mapInArrow(chosen_sets(gram, shared), "set_id long, text string").dropDuplicates(["set_id"]), "texts")
+    texts = written(texts.mapInArrow(tidy(chosen_sets(gram, shared)), "set_id long, text string").dropDuplicates(["set_id"]), "texts")
     shapes = classes.select("set_id", "n", *parity)
     roots = components_of(proposed, texts, shapes, gram, percent)
     placed = classes.join(roots, classes["set_id"] == roots["node"], "left")

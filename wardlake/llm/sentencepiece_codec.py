@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wardlake.llm.common import id_and_text
+from wardlake.llm.common import give_back, id_and_text
 
 MARKER = "▁"
 CACHE_BYTES = 16_000_000  # of what a worker remembers, by the bytes its entries take
@@ -266,6 +266,7 @@ def codec(path: str) -> Codec:
     """One codec per worker process."""
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
+        give_back()  # what its making took
     return _CODECS[path]
 
 
@@ -290,7 +291,7 @@ def encoder(path: str):
                     ],
                     names=["doc_id", "n_ids", "ids", "round_trip", "parity"],
                 )
-        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
+        give_back()
 
     return encode
 

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from wardlake.llm.common import id_and_text, written
+from wardlake.llm.common import give_back, id_and_text, tidy, written
 
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.7
@@ -376,7 +376,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     n_toxic, n = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).head()
     if not 0 < n_toxic < n:
         return None
-    counted = sample.mapInArrow(_evidence, "key string, toxic long").groupBy("key").agg(
+    counted = sample.mapInArrow(tidy(_evidence), "key string, toxic long").groupBy("key").agg(
         F.sum("toxic").alias("toxic"), F.count("*").alias("n")
     )
     odds = F.log((F.col("toxic") + 0.1) / (n_toxic + 0.2)) - F.log((F.col("n") - F.col("toxic") + 0.1) / (n - n_toxic + 0.2))
@@ -392,7 +392,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             rows = [features(reader.clauses(t)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["toxic", "x"])
 
-    found = sample.mapInArrow(read, "toxic long, x array<double>").toPandas()  # at most sample_rows short rows
+    found = sample.mapInArrow(tidy(read), "toxic long, x array<double>").toPandas()  # at most sample_rows short rows
     weights = fit_curve(np.array(found["x"].tolist()), found["toxic"].to_numpy(dtype=float))
     return Scorer(lexicon, weights)
 
@@ -420,7 +420,7 @@ def toxicity_scores(docs: DataFrame, scorer: Scorer | None, threshold: float = T
         *kept.schema, StructField("score", DoubleType()), StructField("predicted", IntegerType()),
         StructField("matched_clauses", IntegerType()),
     ])
-    return kept.mapInArrow(score, schema)
+    return kept.mapInArrow(tidy(score), schema)
 
 
 def score_of(scorer: Scorer, text: Column) -> Column:
@@ -433,6 +433,8 @@ def score_of(scorer: Scorer, text: Column) -> Column:
             # A few texts at a time become Python objects.
             slices = (batch.slice(at, ROWS).to_pylist() for at in range(0, len(batch), ROWS))
             yield pa.array([scorer.score(reader.clauses(t)) for texts in slices for t in texts], pa.float64())
+        reader.seen.clear()
+        give_back()
 
     return score(text)
 
