@@ -178,8 +178,10 @@ def test_workers_keep_no_free_memory_after_a_task():
 
     def work(batches):
         for n in batches:
-            blocks = [np.ones(12_000) for _ in range(n)]  # 96 KB each, from the heap
-            kept.append(np.ones(1_000))
+            blocks = []
+            for _ in range(n):  # 96 KB each, from the heap
+                blocks.append(np.ones(12_000))
+                kept.append(np.ones(1_000))
             yield len(blocks)
 
     before = resident()
