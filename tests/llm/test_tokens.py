@@ -78,6 +78,32 @@ def test_plain_words_go_by_their_pieces(monkeypatch):
     assert not sent
 
 
+def test_latin_words_go_by_their_pieces(monkeypatch):
+    """Accented words too reach the library's model once, whatever their case and marks, and never its normaliser."""
+    library = Tokenizer.from_file(WORD_BPE)
+    rng = random.Random(6)
+    letters = [*map(chr, range(0xC0, 0x100)), "a", "Z", "7", "'s", "'", "-"]
+    odd = [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(7))) for _ in range(40)) for _ in range(80)]
+    odd += ["  ", "\x0b a\x0c ", "", "x" * 300, "e\u0301te\u0301 \u01c5 \u0130x ﬁ", "Ünï\u00a0cödé"]
+    encoder = token_files.Encoder(WORD_BPE, 16)
+    for text, data in zip(odd, encoder.encode(odd)):
+        assert np.frombuffer(data, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+    sent, merged, plain = [], [], encoder._merged
+    monkeypatch.setattr(encoder, "_joint", lambda new: sent.extend(new) or {})
+    monkeypatch.setattr(encoder, "_merged", lambda new: merged.extend(new) or plain(new))
+    encoder.encode(["Überlänge, ÜBERLÄNGE überlänge...", "überlänge (Überlänge)"])
+    assert not sent and sorted(merged) == sorted(x.encode() for x in [",", "...", "(", ")", "überlänge"] if x.encode() in merged)
+    assert merged.count("überlänge".encode()) == 1
+
+
+def test_ids_of_rows_are_joined():
+    table = token_files.IdTable.of([b"", b"\x01\0\x02\0", b"\x03\0"], "<u2")
+    found = table.joined(np.array([2, 1, 0, 1]), np.array([0, 0, 3, 4, 4]))
+    assert (found.ids.tolist(), found.counts.tolist(), found.starts.tolist()) == ([3, 1, 2, 1, 2], [0, 3, 2, 0], [0, 0, 3, 5])
+    none = table.joined(np.array([], dtype=np.int64), np.array([0]))
+    assert (len(none.ids), len(none.counts)) == (0, 0)
+
+
 @pytest.mark.parametrize("shard_tokens", [1 << 22, 50])
 def test_token_files(spark, shard_tokens):
     library = Tokenizer.from_file(WORD_BPE)
