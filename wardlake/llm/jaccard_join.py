@@ -11,14 +11,17 @@ of shingles by hash into segments. A segment of a set that equals the partner's
 the same signature; with the one-deletion neighbourhood (signatures of the segment without
 each one of its shingles) so does one that differs in a single shingle. A segment thus stands
 for 1 difference, or 2 with its neighbourhood if it has two shingles or more, and 0 if
-empty. A set sends the signatures of its first segments that together stand for H + 1: the
-segments that differ cannot use all of that up, so two sets that link share a signature. A set
+empty. A set sends the signatures of segments that together stand for H + 1: the
+segments that differ cannot use all of that up. In bands with neighbourhoods these are its first segments; in others its
+fullest, which few sets share by chance: of segments with their shingles as tokens, in any one order of all tokens, the first H + 1 of two
+sets that differ in H at most have one in common. So two sets that link share a signature. A set
 whose segments stand for too little sends all of them and takes part in a second, differently
 cut universe as well, and so on; after ``UNIVERSES`` of them it also sends its band itself.
 
 *Allocation.* Per band, whether segments carry neighbourhoods follows from a cost: signatures
-sent, and signatures times the sets expected to share one by chance, by the measured number
-of sets in the band. Few sets or long segments need no neighbourhood; small sets in large bands do.
+sent, and signatures times the sets expected to share one. Both are measured by sending a sample of some
+``SAMPLE_SETS`` texts either way; a band without a set in the sample goes by an assumed ``CHANCE``. Few sets or long segments need no
+neighbourhood; many sets with much in common do. The sample decides what is sent, not which links are found.
 
 *Verification.* Each group of sets with a signature in common proposes its least member (the pivot)
 against the others, one row each. Pairs whose sizes, or whose bitmaps of parities, differ by too
@@ -41,7 +44,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +58,9 @@ PERCENT = 85
 BAND_RATIO = 1.5
 UNIVERSES = 6
 SLACK = 1.1  # segments beyond those needed, for empty ones
-CHANCE = 0.03  # that a shingle of one set is in an unrelated one
+CHANCE = 0.03  # that a shingle of one set is in an unrelated one, where it is not measured
+SAMPLE_SETS = 8_000
+PARTNER_COST = 4  # of a set that shares a signature, in signatures sent: it is proposed, placed and met again
 MEMBERS_PER_SALT = 2_000
 CELL = 4_000  # members of a group on either side that a task compares at a time
 SKETCH = 16  # least signatures of a set by which its pairs are told to come out once
@@ -103,26 +108,44 @@ def bands(largest: int, percent: int) -> list[Band]:
     return out
 
 
-def allocate(band: Band, sets: int) -> Band:
-    """The cheaper of plain segments and segments with one-deletion neighbourhoods."""
+def plain_segments(band: Band) -> Band:
+    return replace(band, segments=math.ceil((band.differ + 1) * SLACK), neighbours=False)
+
+
+def neighbour_segments(band: Band) -> Band:
+    return replace(band, segments=math.ceil((band.differ + 1) / 2), neighbours=True)
+
+
+def allocate(band: Band, sets: int, measured: dict[bool, float] | None = None) -> Band:
+    """The cheaper of plain segments and segments with one-deletion neighbourhoods.
+
+    ``measured``: what the two cost without and with neighbourhoods, if the sample has sets of the band.
+    """
+    plain, with_neighbours = plain_segments(band), neighbour_segments(band)
+    if measured:
+        return with_neighbours if measured.get(True, 0) < measured.get(False, 0) else plain
     need = band.differ + 1
 
-    def cost(segments: int, keys: float, held: float) -> float:
+    def cost(keys: float, held: float) -> float:
         return keys * (1 + sets * CHANCE ** max(held, 0.5))
 
-    plain = math.ceil(need * SLACK)
-    with_neighbours = math.ceil(need / 2)
-    a = cost(plain, need, band.low / plain)
-    held = band.low / with_neighbours
-    b = cost(with_neighbours, need / 2 * (1 + held), held - 1)
-    return Band(band.low, band.high, band.differ, plain if a <= b else with_neighbours, b < a)
+    held = band.low / with_neighbours.segments
+    a = cost(need, band.low / plain.segments)
+    b = cost(need / 2 * (1 + held), held - 1)
+    return plain if a <= b else with_neighbours
 
 
 def signatures(items: np.ndarray, allocated: list[Band], percent: int) -> np.ndarray:
     """All signatures a set sends."""
-    size, out = len(items), []
+    out = [found for _, found in band_signatures(items, allocated, percent)]
+    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
+
+
+def band_signatures(items: np.ndarray, allocated: list[Band], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Signatures with the number of their band."""
+    size = len(items)
     if not size:
-        return np.empty(0, dtype=np.uint64)
+        return
     own = (100 - percent) * (size + 100 * size // percent) // (100 + percent)
     smallest = -(-percent * size // 100)
     for number, band in enumerate(allocated):
@@ -136,23 +159,26 @@ def signatures(items: np.ndarray, allocated: list[Band], percent: int) -> np.nda
             where, value = where[order], mix(items[order] + salt)
             first = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1])))
             held = np.diff(np.append(first, size))
-            stands = np.minimum(held, 2) if band.neighbours else np.ones(len(first), dtype=np.int64)
-            reach = np.cumsum(stands)
-            enough = reach[-1] >= need
-            take = int(np.searchsorted(reach, need)) + 1 if enough else len(first)
             sums = np.add.reduceat(value, first)
             place = mix(where[first].astype(np.uint64) + salt)
-            out.append(mix(sums[:take] + place[:take]))
-            if band.neighbours:
-                end = int(first[take]) if take < len(first) else size
-                of = np.repeat(np.arange(take), held[:take])
-                several = held[of] > 1
-                out.append(mix(sums[of][several] - value[:end][several] + place[of][several]))
+            if not band.neighbours:
+                fullest = np.argsort(-held, kind="stable")[:need]
+                yield number, mix(sums[fullest] + place[fullest])
+                if len(first) >= need:
+                    break
+                continue
+            reach = np.cumsum(np.minimum(held, 2))
+            enough = reach[-1] >= need
+            take = int(np.searchsorted(reach, need)) + 1 if enough else len(first)
+            yield number, mix(sums[:take] + place[:take])
+            end = int(first[take]) if take < len(first) else size
+            of = np.repeat(np.arange(take), held[:take])
+            several = held[of] > 1
+            yield number, mix(sums[of][several] - value[:end][several] + place[of][several])
             if enough:
                 break
         else:
-            out.append(mix(np.array([(number + 1) * _ODD & (1 << 64) - 1], dtype=np.uint64)))
-    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
+            yield number, mix(np.array([(number + 1) * _ODD & (1 << 64) - 1], dtype=np.uint64))
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -231,6 +257,42 @@ def signature_rows(gram: int, percent: int, allocated: list[Band], shared: froze
     return send
 
 
+def sample_rows(gram: int, percent: int, empty: list[Band]):
+    """(doc_id, text) to the signatures of either kind: band, neighbours, signature and set_id."""
+    plans = [(False, [plain_segments(b) for b in empty]), (True, [neighbour_segments(b) for b in empty])]
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(1):
+                items = shingles(text.as_py(), gram)
+                set_id = set_ids(items)[0]
+                for neighbours, plan in plans:
+                    for band, found in band_signatures(items, plan, percent):
+                        n = len(found)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(n, band, dtype=np.int32)), pa.array(np.full(n, neighbours)), pa.array(found.view(np.int64)), pa.array(np.full(n, set_id, dtype=np.int64))],
+                            names=["band", "neighbours", "signature", "set_id"],
+                        )
+
+    return send
+
+
+def measured_costs(keyed: DataFrame, rows: int, gram: int, percent: int, empty: list[Band]) -> dict[int, dict[bool, float]]:
+    """What the sets of a sample cost in each band, by kind: signatures, and the sets that share them in the whole table.
+
+    One in so many texts is taken by hash, each once, so sets that share signatures are as many times rarer in the sample.
+    """
+    every = max(1, rows // SAMPLE_SETS)
+    texts = keyed.where(F.pmod(F.xxhash64("text_key"), F.lit(every)) == 0).dropDuplicates(["text_key"]).select("doc_id", "text")
+    sent = texts.mapInArrow(tidy(sample_rows(gram, percent, empty)), "band int, neighbours boolean, signature long, set_id long").distinct()
+    shared = sent.groupBy("band", "neighbours", "signature").agg(F.count("*").alias("n"))
+    found = shared.groupBy("band", "neighbours").agg(F.sum("n").alias("keys"), F.sum(F.col("n") * (F.col("n") - 1)).alias("met")).collect()
+    out: dict[int, dict[bool, float]] = {}
+    for r in found:  # a row for each band and kind
+        out.setdefault(r["band"], {})[r["neighbours"]] = r["keys"] + PARTNER_COST * every * r["met"]
+    return out
+
+
 def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(signature, set_id) in order to (signature, pivot, set_id): every later set of a group."""
     key = pivot = last = None
@@ -393,7 +455,8 @@ def component_rows(
     edges = F.lit(np.array([b.low for b in empty] or [1]))
     sizes = classes.select(F.size(F.filter(edges, lambda e: e <= F.col("n"))).alias("band")).groupBy("band").count().collect()
     counts = {r["band"] - 1: r["count"] for r in sizes}  # a row for each band
-    allocated = [allocate(b, counts.get(i, 0) + counts.get(i + 1, 0)) for i, b in enumerate(empty)]
+    costs = measured_costs(keyed, sets.count(), gram, percent, empty) if counts else {}
+    allocated = [allocate(b, counts.get(i, 0) + counts.get(i + 1, 0), costs.get(i)) for i, b in enumerate(empty)]
     sent = rows.mapInArrow(tidy(signature_rows(gram, percent, allocated, shared)), "signature long, set_id long")
     ordered = sent.repartition("signature").sortWithinPartitions("signature", "set_id")
     proposed = written(ordered.mapInArrow(tidy(groups), "signature long, pivot long, set_id long"), "proposed")
