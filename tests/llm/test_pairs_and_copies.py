@@ -237,11 +237,11 @@ def test_a_pair_comes_out_once(spark):
     assert tuples(found, "a", "b") == sorted(((a, b) for a in range(20) for b in range(20, 40)), key=repr)
 
 
-def allocation(spark, monkeypatch, rows):
+def allocation(spark, monkeypatch, rows, **shape):
     """The bands that sets were sent by, those with a set of their size."""
     taken, plain = [], jaccard_join.signature_rows
     monkeypatch.setattr(jaccard_join, "signature_rows", lambda gram, percent, allocated, shared: taken.append(allocated) or plain(gram, percent, allocated, shared))
-    found = jaccard_join.jaccard_components(frame(spark, rows))
+    found = jaccard_join.jaccard_components(frame(spark, rows), **shape)
     sizes = {n for _, n, _ in tuples(found, "doc_id", "n_shingles", "component_id")}
     return found, [b for b in taken[0] if any(b.low <= n <= b.high for n in sizes)]
 
@@ -249,7 +249,7 @@ def allocation(spark, monkeypatch, rows):
 def test_many_unlike_texts_are_sent_without_neighbourhoods(spark, monkeypatch):
     """What is sent for a text follows from what texts have in common, not from their number."""
     rows = [row(i, " ".join(f"d{i}w{j}" for j in range(60))) for i in range(8_000)]
-    found, sent = allocation(spark, monkeypatch, rows)
+    found, sent = allocation(spark, monkeypatch, rows, gram=5, percent=80)
     assert [b.neighbours for b in sent] == [False]
     assert found.where("component_id <> doc_id").count() == 0
 
