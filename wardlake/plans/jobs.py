@@ -26,6 +26,7 @@ from wardlake.contracts import (
     PHARMA,
     SILVER,
     SourceContract,
+    ddl,
 )
 from wardlake.operators import audit, cleanse, star
 from wardlake.operators.validate import (
@@ -38,6 +39,7 @@ from wardlake.operators.validate import (
 )
 from wardlake.plans import marts
 from wardlake.plans.views import VIEWS
+from wardlake.session import shuffles_freed
 from wardlake.sources import tables
 from wardlake.sources.landing import read_landing_csv, write_landing_csv
 
@@ -54,9 +56,11 @@ def land_extracts(
 
     def land(name: str) -> None:
         source = by_name[name]
-        write_landing_csv(extracts[name].select(*source.columns), ctx.landing_path(source))
+        with shuffles_freed(extracts[name].sparkSession):
+            write_landing_csv(extracts[name].select(*source.columns), ctx.landing_path(source))
 
-    _concurrently(by_name, land)
+    for name in by_name:  # one by one: side by side, their shuffles would stand on disk together
+        land(name)
 
 
 def raw_to_bronze(spark: SparkSession, ctx: RunContext, source: SourceContract) -> int:
@@ -99,7 +103,7 @@ def run_silver(spark: SparkSession, ctx: RunContext) -> None:
     tables.recover_silver(spark, ctx)
     bronze = {s.name: tables.read_bronze(spark, ctx.bronze_path(s)) for s in ALL_SOURCES}
 
-    # Written once and read by six tables, each with only its own columns.
+    # Written once and read by six tables, each with only its own columns; it goes when they are there.
     clean_path = ctx.stage_path("clean_hospital")
     tables.write_parquet(cleanse.clean_hospital(bronze["Hospital"], ctx.as_of), clean_path)
     clean = {
@@ -142,6 +146,8 @@ def run_silver(spark: SparkSession, ctx: RunContext) -> None:
         if tables.database_properties(spark, ctx.database)[tables.MOVING] != version:
             tables.remove_folder(spark, ctx.silver_folder(version))
         raise
+    finally:
+        tables.remove_folder(spark, clean_path)
     _audit(spark, ctx, "silver_nb", "silver", {s: rows[t] for s, t in COUNTED.items()})
     _audit(spark, ctx, "silver_nb", "reject", {s: rows[s] for s in rules})
 
@@ -161,14 +167,34 @@ def drop_run(spark: SparkSession, ctx: RunContext) -> None:
 
 def run_gold(spark: SparkSession, ctx: RunContext) -> None:
     def refresh(mart: str) -> int:
-        built = marts.build_mart(
-            mart, lambda table: tables.read_silver(spark, ctx, table), ctx.report_month
-        )
-        return _write_counted(
-            built, lambda out: tables.write_gold(out, mart, ctx), f"{mart}_{ctx.run_id}"
-        )
+        staged = ctx.stage_path(f"{mart}_{ctx.run_id}")
+        try:
+            built = build_mart(mart, lambda table: tables.read_silver(spark, ctx, table), ctx.report_month, staged)
+            return _write_counted(
+                built, lambda out: tables.write_gold(out, mart, ctx), f"{mart}_{ctx.run_id}"
+            )
+        finally:
+            tables.remove_folder(spark, staged)
+
+    # One by one, so that no two marts' shuffles are on disk together.
+    _audit(spark, ctx, "gold_nb", "gold", {mart: refresh(mart) for mart in GOLD})
+
 
-    _audit(spark, ctx, "gold_nb", "gold", _concurrently(GOLD, refresh))
+# From so many bytes of silver files on, a mart that can be built in slices is, in so many of them.
+SLICE_FROM, SLICES = 64 << 20, 4
+
+
+def build_mart(mart: str, silver: Callable[[str], DataFrame], report_month: str, staged: str) -> DataFrame:
+    """A mart's rows; those of a large one that can be built in slices are put into ``staged`` slice by slice.
+
+    Only one slice's shuffle is on disk at a time (see ``shuffles_freed``), for reading the silver tables once per slice.
+    """
+    sizes = [tables.file_bytes(silver(table)) for table in marts.MARTS[mart][1]]
+    if mart not in marts.SLICED or sum(sizes) < SLICE_FROM:
+        return marts.build_mart(mart, silver, report_month)
+    for part in marts.slices(mart, silver, report_month, SLICES):
+        part.write.options(**tables.PARQUET_OPTIONS).mode("append").parquet(staged)
+    return part.sparkSession.read.schema(ddl(GOLD[mart])).parquet(staged)
 
 
 def register_views(spark: SparkSession, ctx: RunContext) -> None:
@@ -185,9 +211,10 @@ def run_medallion(
     ctx = replace(ctx, run_seq=tables.next_run_seq(spark, ctx))
     tables.append_audit(spark, ctx, [audit.start_row(ctx)])
     try:
-        run_raw(spark, ctx, sources)
-        run_silver(spark, ctx)
-        run_gold(spark, ctx)
+        with shuffles_freed(spark):
+            run_raw(spark, ctx, sources)
+            run_silver(spark, ctx)
+            run_gold(spark, ctx)
     except Exception as error:
         tables.append_audit(spark, ctx, [audit.fail_row(ctx, str(error))])
         raise

@@ -176,5 +176,15 @@ def build_mart(name: str, silver: Callable[[str], DataFrame], report_month: str)
     return function(*[silver(table) for table in inputs], report_month)
 
 
+# Marts whose joins and groups all have this column among their keys: its values can be dealt into slices.
+SLICED = {"gold_device_availability": "hospital_id"}
+
+
+def slices(name: str, silver: Callable[[str], DataFrame], report_month: str, n: int) -> list[DataFrame]:
+    """A mart in ``n`` parts that together have its rows, each from the silver rows of its share of the values."""
+    share = F.pmod(F.xxhash64(SLICED[name]), F.lit(n))
+    return [build_mart(name, lambda table, i=i: silver(table).filter(share == i), report_month) for i in range(n)]
+
+
 def _mart(df: DataFrame, name: str, report_month: str) -> DataFrame:
     return conform(df.withColumn("report_month", F.lit(report_month)), GOLD[name])

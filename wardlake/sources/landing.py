@@ -17,16 +17,21 @@ CSV_OPTIONS = {
     "header": True, "sep": ",", "quote": '"', "escape": "\\",
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
+# Landing text is several times as large as its tables, so it is written compressed. A compressed file is read
+# as a whole by one task, so files have a bound.
+WRITE_OPTIONS = {
+    **CSV_OPTIONS, "compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 1_000_000,
+}
 
 
 def write_landing_csv(df: DataFrame, path: str) -> None:
-    """Every column as text; a directory of part files, one per task, each with a header.
+    """Every column as text; a directory of compressed part files, one or more per task, each with a header.
 
-    A record is a line, so that large files can be split: a value with a line break fails the write.
+    A record is a line, so that plain files can be split: a value with a line break fails the write.
     """
     message = F.lit("a landing value holds a line break")
     text = df.select(*[_line(F.col(c).cast("string"), kind, message).alias(c) for c, kind in df.dtypes])
-    text.write.options(**CSV_OPTIONS).mode("overwrite").csv(path)
+    text.write.options(**WRITE_OPTIONS).mode("overwrite").csv(path)
 
 
 # Types whose text holds digits, signs and names only.

@@ -13,10 +13,13 @@ from wardlake.contracts import AUDIT, BUCKET_KEYS, GOLD, HOSPITAL_DIMENSIONS, SI
 
 # Parquet directories
 
+# A third less on disk than with the default codec.
+PARQUET_OPTIONS = {"compression": "zstd"}
+
 
 def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Overwrite ``path``. One file means one task, so it is only for small results."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
+    (df.coalesce(1) if single_file else df).write.options(**PARQUET_OPTIONS).mode("overwrite").parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -31,7 +34,8 @@ def write_gold(df: DataFrame, name: str, ctx: RunContext) -> None:
         return
     (
         out.withColumn("report_year", F.lit(ctx.report_year))
-        .write.mode("overwrite")
+        .write.options(**PARQUET_OPTIONS)
+        .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("report_year", "report_month")
         .parquet(ctx.gold_path(name))
@@ -94,7 +98,7 @@ def write_version(df: DataFrame, ctx: RunContext, version: str, table: str) -> N
     """One table of a version. A bucketed one is written through a catalog table of its layout."""
     spark, path = df.sparkSession, version_path(ctx, version, table)
     if not (ctx.fact_buckets and table in BUCKET_KEYS):
-        conform(df, SILVER[table]).write.parquet(path)
+        conform(df, SILVER[table]).write.options(**PARQUET_OPTIONS).parquet(path)
         return
     staged = f"{ctx.database}.{table}_{uuid.uuid4().hex[:8]}"
     spark.sql(
@@ -109,7 +113,7 @@ def write_version(df: DataFrame, ctx: RunContext, version: str, table: str) -> N
 
 def write_dimensions(df: DataFrame, ctx: RunContext, version: str) -> None:
     """All hospital dimensions of a version in one write, one partition each."""
-    df.write.partitionBy("dimension").parquet(f"{ctx.silver_folder(version)}/{DIMENSIONS_FOLDER}")
+    df.write.options(**PARQUET_OPTIONS).partitionBy("dimension").parquet(f"{ctx.silver_folder(version)}/{DIMENSIONS_FOLDER}")
 
 
 def database_properties(spark: SparkSession, database: str) -> dict[str, str]:
@@ -192,6 +196,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(found, True)
 
 
+def file_bytes(table: DataFrame) -> int:
+    """The size of a stored table's files, from their listing."""
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def keep_versions(spark: SparkSession, ctx: RunContext, kept: set[str]) -> None:
     """Remove the folders of all other versions."""
     files, root = _path(spark, ctx.silver_folder(""))
