@@ -4,7 +4,8 @@ import re
 import time
 
 from tests.data import CONTRACTS, text_frame, tuples
-from wardlake.contracts import PHARMA, SILVER, ddl
+from wardlake.contracts import GOLD, PHARMA, SILVER, ddl
+from wardlake.operators import audit
 from wardlake.plans import jobs, marts
 from wardlake.sources import landing, tables
 
@@ -76,3 +77,14 @@ def test_slices_of_a_mart_have_its_rows(spark, ctx, tmp_path, monkeypatch):
     expected = sorted(marts.build_mart(mart, silver.__getitem__, ctx.report_month).collect())
     assert sliced == [mart] and sorted(tables.external_gold_tables(spark, ctx)[mart].collect()) == expected
     assert not list((tmp_path / "silver_stage").glob("*"))
+
+
+def test_reconciliation_holds_no_shuffle_of_the_marts(spark, ctx):
+    land(spark, ctx)
+    jobs.run_medallion(spark, ctx)
+    silver, gold = tables.silver_snapshot(spark, ctx), tables.external_gold_tables(spark, ctx)
+    rebuilt = {m: marts.build_mart(m, silver.__getitem__, ctx.report_month) for m in GOLD}
+    found = []
+    assert left_by(spark, lambda: found.append(audit.content_reconciliation(rebuilt, gold))) == set()
+    plan = found[0]._jdf.queryExecution().toString()
+    assert "FileScan" not in plan and tuples(found[0], "mart", "matches") == {(m, True) for m in GOLD}
