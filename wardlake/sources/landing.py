@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardlake.contracts import BAD_RECORD, SourceContract
@@ -53,22 +52,23 @@ ONE_FILE = str(1 << 40)
 def landing_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``(file, header)``: the first line of every landing file.
 
-    A task opens one file and stops after the first batch of lines, so what is read does not grow with
-    the files. No built-in operator ends a scan within a file, hence the function over batches.
+    A task opens one file and stops after its first line, so what is read does not grow with the files.
     """
     apart = spark.newSession()  # how files are dealt into tasks is set per session
     apart.conf.set("spark.sql.files.maxPartitionBytes", ONE_FILE)
     apart.conf.set("spark.sql.files.openCostInBytes", ONE_FILE)
-    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    lines = apart.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"))
+    return first_of_each_task(lines)
 
-    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if len(batch):
-                yield batch.slice(0, 1)
-                return
 
-    lines = apart.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"))
-    return lines.mapInArrow(first_line, "file string, header string")
+def first_of_each_task(df: DataFrame) -> DataFrame:
+    """One row of every partition, which is read no further: the local half of ``limit(1)``.
+
+    A function over batches would not do: the JVM goes on sending it rows after it has returned.
+    """
+    spark = df.sparkSession
+    local = df.limit(1)._jdf.logicalPlan().child()  # below a GlobalLimit, which would keep one row of all
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, local), spark)
 
 
 def header_report(spark: SparkSession, path: str | Sequence[str], contract: SourceContract) -> DataFrame:
