@@ -136,9 +136,10 @@ def run_silver(spark: SparkSession, ctx: RunContext) -> None:
             f"rejected_{name}_{ctx.run_id}",
         )
 
-    # Facts and rejects are the long writes, so they come first.
-    facts_first = sorted(set(SILVER) - set(HOSPITAL_DIMENSIONS), reverse=True)
-    work = {t: table for t in facts_first} | {"hospital_dimensions": dimensions} | {s: reject for s in rules}
+    # Dimensions come first: they alone shuffle, and so before the facts are on disk as well.
+    others = sorted(set(SILVER) - set(HOSPITAL_DIMENSIONS))
+    work = {t: table for t in others if t.startswith("dim_")} | {"hospital_dimensions": dimensions}
+    work |= {t: table for t in others} | {s: reject for s in rules}
     try:
         rows = _concurrently(work, lambda name: work[name](name))
         tables.publish_silver(spark, ctx, version)
